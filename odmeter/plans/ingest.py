@@ -129,13 +129,10 @@ def ingest_batch(
         return report
 
     delta = list_delta(spark, source, tasks)
-    until = {
-        r[MONTH]: r["us"]
-        for r in delta.groupBy(MONTH).agg(F.max(F.unix_micros("file_time")).alias("us")).collect()
-    }
-    with_files = [t for t in tasks if t.month in until]
+    has_files = {r[MONTH] for r in delta.select(MONTH).distinct().collect()}
+    with_files = [t for t in tasks if t.month in has_files]
     if with_files:
-        scanned = read_delta(spark, source, with_files, until, tolerant=options.tolerant)
+        scanned = read_delta(spark, source, with_files, tolerant=options.tolerant)
         existing = read_existing_keys(spark, landing, [t.month for t in with_files])
         seen = Observation("landed")
         rows = ingest_rows(scanned, existing, enrich, ctx, options).observe(
@@ -147,7 +144,7 @@ def ingest_batch(
         report.quality = dict(seen.get)
         report.rows = report.quality["rows"]
 
-    commit_months(spark, source, landing, manifest, tasks, delta, ctx, report, options.tolerant)
+    commit_months(spark, source, landing, manifest, tasks, delta, has_files, ctx, report, options.tolerant)
     report.seconds = time.monotonic() - started
     return report
 
@@ -159,6 +156,7 @@ def commit_months(
     manifest: str,
     tasks: list[MonthTask],
     delta: DataFrame,
+    has_files: set[str],
     ctx: RunContext,
     report: IngestReport,
     tolerant: bool,
@@ -168,10 +166,8 @@ def commit_months(
     Where files were left out by a tolerant read, an incremental month is committed only up to the first
     of them and a historical month not at all.  An incremental month without new files gets no row.
     """
-    mode = F.lit(None).cast("string")
-    for task in tasks:
-        mode = F.when(F.col(MONTH) == task.month, task.mode).otherwise(mode)
-    files = delta.withColumn("mode", mode)
+    modes = F.create_map(*[F.lit(text) for t in tasks for text in (t.month, t.mode)])
+    files = delta.withColumn("mode", modes[F.col(MONTH)])
 
     if tolerant:
         unread = unread_files(spark, delta, [month_glob(source)])
@@ -192,7 +188,6 @@ def commit_months(
         MONTH, "file_path", "file_time", "mode", F.coalesce("rows", F.lit(0)).alias("rows")
     )
 
-    has_files = {r[MONTH] for r in delta.select(MONTH).distinct().collect()}
     closed = [(t.month, HISTORICAL) for t in tasks if t.mode == HISTORICAL and t.month not in has_files]
     if closed:
         markers = spark.createDataFrame(closed, f"{MONTH} string, mode string")

@@ -27,12 +27,22 @@ def month_glob(root: str, years: list[str] | None = None) -> str:
     return f"{root}/{{{','.join(years)}}}-[0-9][0-9]"
 
 
-def list_files(spark: SparkSession, paths: str | list[str], suffix: str | None = None, recursive: bool = False) -> DataFrame:
-    """One row per file: path, name, size, time, month.  Contents are not read."""
+def list_files(
+    spark: SparkSession,
+    paths: str | list[str],
+    suffix: str | None = None,
+    recursive: bool = False,
+    only: Column | None = None,
+) -> DataFrame:
+    """One row per file: path, name, size, time, month.  Contents are not read.
+
+    ``only`` is a predicate on ``_metadata``.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
     if suffix:
         reader = reader.option("pathGlobFilter", suffix)
-    return reader.load(paths).select(
+    found = reader.load(paths) if only is None else reader.load(paths).where(only)
+    return found.select(
         *_FILE_FACTS,
         F.col("_metadata.file_modification_time").alias("file_time"),
         C.month_of_path(F.col("_metadata.file_path")).alias(MONTH),
@@ -84,44 +94,35 @@ def read_od_months(
     return with_file_columns(_od_reader(spark, paths, schema, tolerant))
 
 
-def _newer(task: MonthTask, until_us: int | None) -> Column:
-    time = F.col("_metadata.file_modification_time")
-    wanted = C.month_of_path(F.col("_metadata.file_path")) == task.month
-    if task.incremental and task.checkpoint_us is not None:
-        wanted = wanted & (time > F.timestamp_micros(F.lit(task.checkpoint_us)))
-    if until_us is not None:
-        wanted = wanted & (time <= F.timestamp_micros(F.lit(until_us)))
-    return wanted
+def delta_filter(tasks: list[MonthTask]) -> Column:
+    """Predicate on file metadata only, so that Spark drops files before scanning them.
 
-
-def delta_filter(tasks: list[MonthTask], until_us: dict[str, int] | None = None) -> Column:
-    """Predicate on file metadata only, so that Spark drops files before scanning them."""
-    wanted = F.lit(False)
+    Only months with a checkpoint need a term, in practice the current and the previous one.
+    """
+    path, time = F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")
+    wanted = F.lit(True)
     for task in tasks:
-        wanted = wanted | _newer(task, (until_us or {}).get(task.month))
+        if task.incremental and task.checkpoint_us is not None:
+            read_before = time <= F.timestamp_micros(F.lit(task.checkpoint_us))
+            wanted = wanted & ~((C.month_of_path(path) == task.month) & read_before)
     return wanted
 
 
 def list_delta(spark: SparkSession, root: str, tasks: list[MonthTask]) -> DataFrame:
     """Listing of the Parquet files that the queue has to read."""
-    files = list_files(spark, [f"{root}/{t.month}" for t in tasks], PARQUET_ONLY)
-    return files.where(delta_filter(tasks))
+    return list_files(spark, [f"{root}/{t.month}" for t in tasks], PARQUET_ONLY, only=delta_filter(tasks))
 
 
 def read_delta(
     spark: SparkSession,
     root: str,
     tasks: list[MonthTask],
-    until_us: dict[str, int] | None = None,
     schema: StructType | None = None,
     tolerant: bool = False,
 ) -> DataFrame:
-    """Rows of the files newer than each month's checkpoint (strictly); all files of historical months.
-
-    ``until_us`` bounds the file time per month, so that the rows read agree with a listing made before.
-    """
+    """Rows of the files newer than each month's checkpoint (strictly); all files of historical months."""
     rows = _od_reader(spark, [f"{root}/{t.month}" for t in tasks], schema, tolerant)
-    return with_file_columns(rows.where(delta_filter(tasks, until_us)))
+    return with_file_columns(rows.where(delta_filter(tasks)))
 
 
 def unread_files(spark: SparkSession, files: DataFrame, paths: list[str]) -> DataFrame:
