@@ -1,0 +1,82 @@
+import pytest
+from pyspark.errors import PySparkException
+
+from helpers import od_rows, values
+from odmeter.context import RunContext
+from odmeter.functions import columns as C
+from odmeter.operators import clean
+from odmeter.schemas import KEY, PAIR
+from pyspark.sql import functions as F
+
+
+def test_null_and_nan_coordinates_are_dropped(spark):
+    nan = float("nan")
+    rows = od_rows(
+        spark,
+        [("ok", "2025-12", "a", 0), ("null", "2025-12", "a", 1, (None, 1.0, 1.0, 1.0)), ("nan", "2025-12", "a", 2, (1.0, 1.0, nan, 1.0))],
+    )
+    assert values(clean.drop_missing_coords(rows), KEY) == [("ok",)]
+
+
+def test_bad_number_raises_or_is_rejected(spark):
+    texts = spark.createDataFrame([("a", "1", "2", "3", "x"), ("b", "1", "2", "3", "4")], [KEY, *PAIR])
+    with pytest.raises(PySparkException):
+        clean.select_od(texts).collect()
+    rejected = clean.drop_missing_coords(clean.select_od(texts, on_bad_number="reject"))
+    assert values(rejected, KEY) == [("b",)]
+
+
+def test_missing_column_is_named(spark):
+    with pytest.raises(ValueError, match="order_latitude"):
+        clean.select_od(spark.createDataFrame([("a", 1.0)], f"{KEY} string, poc_latitude double"))
+
+
+def test_box_edges_are_inside_and_only_the_start_counts(spark):
+    rows = od_rows(
+        spark,
+        [
+            ("edge", "2025-12", "a", 0, (-74.0, -34.0, 0.0, 80.0)),
+            ("edge2", "2025-12", "a", 1, (-34.0, 5.0, -40.0, 0.0)),
+            ("out", "2025-12", "a", 2, (-33.999, 5.0, -40.0, 0.0)),
+        ],
+    )
+    assert values(clean.within_bbox(rows), KEY) == [("edge",), ("edge2",)]
+    assert values(clean.within_bbox(rows, both_points=True), KEY) == [("edge2",)]
+
+
+def test_clock_texts():
+    ctx = RunContext.at("2025-01-31T23:59:59+00:00")
+    assert (ctx.current_month, ctx.previous_month, ctx.run_date) == ("2025-01", "2024-12", "2025-01-31")
+    assert RunContext.at("2025-03-01T01:00:00+03:00").current_month == "2025-02"
+
+
+@pytest.mark.parametrize("name, stripped", [("part-0.parquet", "part-0"), ("a.parquet.b.parquet", "a.b"), ("x.csv", "x.csv")])
+def test_file_hash_ignores_every_suffix(spark, name, stripped):
+    import hashlib
+
+    got = spark.range(1).select(C.file_hash(F.lit(name)).alias("h")).first()["h"]
+    assert got == hashlib.md5(stripped.encode()).hexdigest()[:8]
+
+
+def test_rounding_is_that_of_numpy(spark):
+    import numpy as np
+
+    numbers = [-46.65555, 0.00005, 0.00015, 12.34565, -23.12345, 1e-9]
+    frame = spark.createDataFrame([(n,) for n in numbers], "x double").select(C.rounded(F.col("x")).alias("r"))
+    assert [r["r"] for r in frame.collect()] == [float(np.round(n, 4)) for n in numbers]
+
+
+def test_union_fills_missing_columns(spark):
+    a, b = spark.createDataFrame([(1,)], "x int"), spark.createDataFrame([(2, "d")], "x int, y string")
+    assert values(clean.union_files(a, b, a), "x", "y") == [(1, None), (1, None), (2, "d")]
+
+
+def test_month_needs_digits(spark):
+    paths = ["file:/b/2025-12/p.parquet", "file:/b/2025-ab/p.parquet", "file:/b/2025-12/deep/p.parquet"]
+    got = spark.createDataFrame([(p,) for p in paths], "p string").select(C.month_of_path(F.col("p")).alias("m"))
+    assert [r["m"] for r in got.collect()] == ["2025-12", None, None]
+
+
+def test_output_label(spark):
+    row = spark.createDataFrame([("deadbeef", 3, 12)], "file_hash string, file_seq int, block_id int")
+    assert clean.output_file_label(row).first()["output_file"] == "part-deadbeef-003-00012"

@@ -1,0 +1,149 @@
+import random
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from helpers import od_rows, plan_of, values
+from odmeter.operators import dedupe
+from odmeter.operators.lookup import hot_keys, key_counts, lookup_join
+from odmeter.schemas import KEY, MONTH
+
+
+def test_three_levels_of_duplicates(spark):
+    """Same file, other file of the month, other month: only the first two are duplicates."""
+    rows = od_rows(
+        spark,
+        [
+            ("ABC123", "2025-12", "part-00000", 0),
+            ("ABC123", "2025-12", "part-00000", 1),
+            ("XYZ789", "2025-12", "part-00000", 2),
+            ("ABC123", "2025-12", "part-00001", 0),
+            ("ABC123", "2026-01", "part-00000", 0),
+        ],
+    )
+    in_file = dedupe.dedupe_within_file(rows, ["row_index"])
+    assert values(in_file, KEY, MONTH, "source_file", "row_index") == [
+        ("ABC123", "2025-12", "part-00000", 0),
+        ("ABC123", "2025-12", "part-00001", 0),
+        ("ABC123", "2026-01", "part-00000", 0),
+        ("XYZ789", "2025-12", "part-00000", 2),
+    ]
+    in_month = dedupe.dedupe_batch(in_file, dedupe.SOURCE_ORDER)
+    assert values(in_month, KEY, MONTH, "source_file") == [
+        ("ABC123", "2025-12", "part-00000"),
+        ("ABC123", "2026-01", "part-00000"),
+        ("XYZ789", "2025-12", "part-00000"),
+    ]
+    overall = dedupe.dedupe_batch(rows, [MONTH, *dedupe.SOURCE_ORDER], scope="table")
+    assert values(overall, KEY, MONTH) == [("ABC123", "2025-12"), ("XYZ789", "2025-12")]
+
+
+def test_null_keys_are_one_key(spark):
+    rows = od_rows(spark, [(None, "2025-12", "a", 0), (None, "2025-12", "a", 1), ("k", "2025-12", "a", 2)])
+    assert dedupe.dedupe_batch(rows, ["row_index"]).count() == 2
+    landed = spark.createDataFrame([(None, "2025-12")], f"{KEY} string, {MONTH} string")
+    assert values(dedupe.anti_join_existing(rows, landed), KEY) == [("k",)]
+    assert values(dedupe.dedupe_batch_against(rows, landed, ["row_index"]), KEY) == [("k",)]
+
+
+def test_first_copy_without_coordinates_wins_unless_asked_otherwise(spark):
+    from odmeter.operators.clean import drop_missing_coords
+
+    holes = (None, -23.5, -46.7, -23.6)
+    rows = od_rows(spark, [("k", "2025-12", "a", 0, holes), ("k", "2025-12", "a", 1)])
+    assert drop_missing_coords(dedupe.dedupe_within_file(rows, ["row_index"])).count() == 0
+    kept = dedupe.dedupe_within_file(rows, ["row_index"], prefer_valid=True)
+    assert values(drop_missing_coords(kept), "row_index") == [(1,)]
+
+
+def test_landing_survivor_does_not_depend_on_names_or_order(spark):
+    columns = "order_number string, distance double, ingestion_date string, source_file string, year string, month string"
+    rows = [("k", 2.0, "2025-12-02", "aaa", "2025", "12"), ("k", 1.0, "2025-12-01", "zzz", "2025", "12")]
+    for _ in range(3):
+        random.shuffle(rows)
+        assert values(dedupe.dedupe_month(spark.createDataFrame(rows, columns)), "distance") == [(1.0,)]
+
+
+def test_group_limit_runs_before_the_shuffle(spark):
+    """A hot key sends at most one row per map task."""
+    rows = od_rows(spark, [("k", "2025-12", "a", i) for i in range(10)])
+    plan = plan_of(dedupe.dedupe_batch(rows, ["row_index"]))
+    partial = plan.index("Partial")
+    assert plan.index("Exchange hashpartitioning") < partial  # printed below the exchange
+
+
+def test_one_shuffle_of_new_rows_serves_keep_first_and_anti_join(spark):
+    rows = od_rows(spark, [("k", "2025-12", "a", i) for i in range(10)])
+    landed = rows.select(KEY, MONTH)
+    conf = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "-1")
+    try:
+        plan = plan_of(dedupe.dedupe_batch_against(rows, landed, ["row_index"]))
+    finally:
+        spark.conf.set(conf, before)
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.sampled_from(["2025-11", "2025-12"])), max_size=30))
+def test_properties(spark, keys):
+    rows = od_rows(spark, [(k, m, "f", i) for i, (k, m) in enumerate(keys)])
+    once = dedupe.dedupe_batch(rows, ["row_index"]).select(KEY, MONTH, "row_index")
+    expected = {}
+    for i, pair in enumerate(keys):
+        expected.setdefault(pair, i)
+    assert {(r[0], r[1]): r[2] for r in once.collect()} == expected
+    assert values(dedupe.dedupe_batch(once, ["row_index"])) == values(once)
+    report = {r[MONTH]: r for r in dedupe.dedupe_report(rows).collect()}
+    for month in {m for _, m in keys}:
+        assert report[month]["rows_before"] == sum(m == month for _, m in keys)
+        assert report[month]["rows_after"] == len({k for k, m in keys if m == month})
+    # Appending what the anti-join lets through, twice, is the same as once.
+    assert dedupe.anti_join_existing(once, once.select(KEY, MONTH)).count() == 0
+
+
+def test_published_shares(spark):
+    """45,123 of 6,176,922 rows are 0.73 %."""
+    from pyspark.sql import functions as F
+
+    from odmeter.functions.columns import percent
+
+    assert spark.range(1).select(percent(F.lit(45123), F.lit(6176922)).alias("p")).first()["p"] == 0.73
+
+
+def test_lookup_keeps_every_row_with_hot_cold_missing_and_unmatched_keys(spark):
+    rows = [("hot", i) for i in range(3000)] + [(None, i) for i in range(3000, 6000)]
+    rows += [("lost", i) for i in range(6000, 9000)] + [(f"k{i}", i) for i in range(9000, 10000)]
+    left = spark.createDataFrame(rows, "k string, id int").repartition(8)
+    right = spark.createDataFrame([("hot", 1.0)] + [(f"k{i}", float(i)) for i in range(9000, 9500)], "k string, v double")
+    got = {r["id"]: r["v"] for r in lookup_join(left, right, ["k"], ["v"]).collect()}
+    want = {i: (1.0 if k == "hot" else float(i) if k and k[0] == "k" and i < 9500 else None) for k, i in rows}
+    assert got == want
+
+
+def test_hot_keys_are_few_and_split_by_share(spark):
+    left = spark.range(10_000).selectExpr("CASE WHEN id % 3 = 0 THEN -1 ELSE id END AS k")
+    hot = hot_keys(key_counts(left, ["k"]), ["k"], slices=16).collect()
+    assert [(r["k"], r["_salts"]) for r in hot] == [(-1, 6)]
+
+
+def test_hot_and_missing_keys_spread_over_tasks(spark):
+    """No join task gets the whole third of the rows that share a key."""
+    from pyspark.sql import functions as F
+
+    left = spark.range(0, 30_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).when(F.col("id") % 3 == 1, F.col("id")).alias("k"), "id"
+    )
+    right = spark.range(30_000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in conf}
+    for name, value in conf.items():
+        spark.conf.set(name, value)
+    try:
+        joined = lookup_join(left, right, ["k"], ["v"], spread_by=["id"])
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sum(sizes) == 30_000 and max(sizes) < 2 * 30_000 / 8

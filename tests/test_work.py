@@ -1,0 +1,117 @@
+import json
+
+import pytest
+
+from helpers import values
+from odmeter.context import RunContext
+from odmeter.operators.months import months_except, months_semi, not_completed
+from odmeter.plans import bookmark, work
+from odmeter.schemas import MANIFEST, MONTH
+
+DEC = RunContext.at("2025-12-01T04:00:00+00:00")
+YEAR = [f"2025-{m:02d}" for m in range(1, 13)]
+
+
+def state_of(spark, completed=(), checkpoints=None):
+    rows = [(m, True, None) for m in completed] + [(m, False, t) for m, t in (checkpoints or {}).items()]
+    text = spark.createDataFrame(rows, f"{MONTH} string, completed boolean, t string")
+    return text.selectExpr(MONTH, "completed", "to_timestamp(t) AS checkpoint", "'x' AS last_updated")
+
+
+def months(spark, names):
+    return spark.createDataFrame([(m,) for m in names], f"{MONTH} string")
+
+
+def queue(spark, names, state, ctx=DEC, **options):
+    tasks = work.collect_tasks(work.plan_work(months(spark, names), state, ctx, **options))
+    return [(t.month, t.mode) for t in tasks]
+
+
+def test_month_turn(spark):
+    state = state_of(spark, YEAR[:10], {"2025-11": "2025-11-30T04:15:00+00:00"})
+    assert queue(spark, YEAR, state) == [("2025-11", work.PREVIOUS), ("2025-12", work.CURRENT)]
+
+
+def test_fresh_start(spark):
+    want = [(m, work.HISTORICAL) for m in YEAR[:11]] + [("2025-12", work.CURRENT)]
+    assert queue(spark, reversed(YEAR), state_of(spark)) == want
+
+
+def test_month_ages_into_a_full_run(spark):
+    state = state_of(spark, YEAR[:10], {"2025-11": "2025-11-30T04:15:00+00:00"})
+    january = RunContext.at("2026-01-10T04:00:00+00:00")
+    assert queue(spark, YEAR[10:], state, january) == [("2025-11", work.HISTORICAL), ("2025-12", work.HISTORICAL)]
+
+
+def test_without_the_previous_month_rule(spark):
+    state = state_of(spark, YEAR[:10], {"2025-11": "2025-11-30T04:15:00+00:00"})
+    want = [("2025-11", work.HISTORICAL), ("2025-12", work.CURRENT)]
+    assert queue(spark, YEAR, state, previous_month_rule=False) == want
+
+
+def test_completed_current_month_runs_unless_skipped(spark):
+    state = state_of(spark, ["2025-12"])
+    assert queue(spark, ["2025-12"], state) == [("2025-12", work.CURRENT)]
+    assert queue(spark, ["2025-12"], state, skip_completed=True) == []
+
+
+def test_month_sets(spark):
+    state = state_of(spark, ["2025-09"], {"2025-10": "2025-10-30T00:00:00+00:00"})
+    names = months(spark, YEAR[8:])
+    assert values(months_except(names, state, DEC)) == [("2025-10",), ("2025-11",)]
+    assert values(not_completed(names, state)) == [("2025-10",), ("2025-11",), ("2025-12",)]
+    assert values(months_semi(names, state)) == [("2025-10",)]
+
+
+def test_delta_is_strictly_after_the_checkpoint(spark):
+    plan = work.plan_work(months(spark, ["2025-12"]), state_of(spark, [], {"2025-12": "2025-12-01T04:15:30+00:00"}), DEC)
+    listing = spark.createDataFrame(
+        [("2025-12", t) for t in ("2025-12-01T03:10:00Z", "2025-12-01T03:15:00Z", "2025-12-01T04:15:30Z", "2025-12-02T03:10:00Z")],
+        f"{MONTH} string, t string",
+    ).selectExpr(MONTH, "t", "to_timestamp(t) AS file_time")
+    assert values(work.after_checkpoint(listing, plan), "t") == [("2025-12-02T03:10:00Z",)]
+
+
+def manifest_of(spark, *rows):
+    text = spark.createDataFrame(rows, f"{MONTH} string, t string, mode string, run_ts string")
+    return text.selectExpr(MONTH, "'f' AS file_path", "to_timestamp(t) AS file_time", "mode", "1L AS rows", "run_ts")
+
+
+def test_historical_commit_completes_and_drops_the_checkpoint(spark):
+    state = bookmark.bookmark_state(
+        manifest_of(spark, ("2025-11", "2025-11-30T04:00:00Z", work.CURRENT, "2025-11-30"), ("2025-11", "2025-11-30T05:00:00Z", work.HISTORICAL, "2026-01-10"))
+    )
+    assert values(state, MONTH, "completed", "checkpoint") == [("2025-11", True, None)]
+
+
+def test_lower_file_time_changes_nothing(spark):
+    state = bookmark.bookmark_state(
+        manifest_of(spark, ("2025-12", "2025-12-02T00:00:00Z", work.CURRENT, "a"), ("2025-12", "2025-12-01T00:00:00Z", work.CURRENT, "b"))
+    )
+    document = bookmark.bookmark_document(state).first()
+    assert document["delta_timestamps"] == {"2025-12": "2025-12-02T00:00:00.000000+00:00"}
+
+
+def test_document_round_trip(spark, tmp_path):
+    path = tmp_path / "bookmark.json"
+    old = {
+        "completed_partitions": ["2025-09", "2025-10"],
+        "delta_timestamps": {"2025-11": "2025-11-30T04:15:00+00:00"},
+        "last_updated": "2025-12-01T16:46:05.049404+00:00",
+    }
+    path.write_text(json.dumps(old, indent=2))
+    manifest = str(tmp_path / "manifest")
+    bookmark.append_manifest(bookmark.manifest_of(bookmark.read_bookmark(spark, str(path))), manifest)
+    document = bookmark.bookmark_document(bookmark.bookmark_state(bookmark.read_manifest(spark, manifest))).first()
+    assert document["completed_partitions"] == ["2025-09", "2025-10"]
+    assert document["delta_timestamps"] == {"2025-11": "2025-11-30T04:15:00.000000+00:00"}
+    assert document["last_updated"] == old["last_updated"]
+
+
+def test_missing_state_is_empty_and_broken_state_raises(spark, tmp_path):
+    assert bookmark.read_bookmark(spark, str(tmp_path / "none.json")).count() == 0
+    assert bookmark.read_manifest(spark, str(tmp_path / "none")).schema == MANIFEST
+    broken = tmp_path / "broken.json"
+    broken.write_text('{"completed_partitions": ["2025-')
+    with pytest.raises(Exception):
+        bookmark.read_bookmark(spark, str(broken)).count()
