@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from odmeter.context import RunContext
@@ -15,7 +15,7 @@ from odmeter.operators.dedupe import SOURCE_ORDER, dedupe_batch_against, dedupe_
 from odmeter.operators.enrich import enrich_geodesic, enrich_routes
 from odmeter.plans.bookmark import HISTORICAL, append_manifest, bookmark_state, read_manifest
 from odmeter.plans.work import MonthTask, collect_tasks, plan_work
-from odmeter.reports.quality import throughput
+from odmeter.reports.quality import quality_counts, throughput
 from odmeter.schemas import LANDING, MONTH
 from odmeter.sinks.landing import BLOCK_ROWS, write_landing
 from odmeter.sources.files import (
@@ -134,14 +134,8 @@ def ingest_batch(
     if with_files:
         scanned = read_delta(spark, source, with_files, tolerant=options.tolerant)
         existing = read_existing_keys(spark, landing, [t.month for t in with_files])
-        seen = Observation("landed")
-        rows = ingest_rows(scanned, existing, enrich, ctx, options).observe(
-            seen,
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(F.col("distance") == 0).alias("zero_distances"),
-        )
-        write_landing(rows, landing, options.max_records)
-        report.quality = dict(seen.get)
+        write_landing(ingest_rows(scanned, existing, enrich, ctx, options), landing, options.max_records)
+        report.quality = quality_counts(landed_by(spark, landing, tasks, ctx)).first().asDict()
         report.rows = report.quality["rows"]
 
     commit_months(spark, source, landing, manifest, tasks, delta, has_files, ctx, report, options.tolerant)
@@ -149,6 +143,12 @@ def ingest_batch(
     return report
 
 
+def landed_by(spark: SparkSession, landing: str, tasks: list[MonthTask], ctx: RunContext) -> DataFrame:
+    """Rows that this run has landed.  A file holds one run time, so older files are skipped by their statistics."""
+    rows = read_landing(spark, landing, [t.month for t in tasks])
+    return rows.where(F.col("processing_timestamp") == ctx.run_ts)
+
+
 def commit_months(
     spark: SparkSession,
     source: str,
@@ -179,8 +179,7 @@ def commit_months(
             )
 
     landed = (
-        read_landing(spark, landing, [t.month for t in tasks])
-        .where(F.col("processing_timestamp") == ctx.run_ts)
+        landed_by(spark, landing, tasks, ctx)
         .groupBy(F.concat_ws("-", "year", "month").alias(MONTH), F.col("source_file").alias("file_name"))
         .agg(F.count(F.lit(1)).alias("rows"))
     )

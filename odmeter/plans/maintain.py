@@ -40,14 +40,16 @@ def _spread(rows: DataFrame, files: dict[str, int]) -> DataFrame:
     """Shuffles so that month ``m`` ends in at most ``files[m]`` tasks, hence files.
 
     A month below the target size goes to one task; a large one is split by a hash of the key, so that no
-    task takes a whole large month.
+    task takes a whole large month.  The number of tasks follows the number of files (twice that, so that
+    few files share a task), not the session default.
     """
     wanted: Column = F.lit(1)
     for month, n in files.items():
         if n > 1:
             here = (F.col("year") == month[:4]) & (F.col("month") == month[5:])
             wanted = F.when(here, n).otherwise(wanted)
-    return rows.withColumn("_part", F.pmod(F.xxhash64(KEY), wanted)).repartition("year", "month", "_part").drop("_part")
+    split = rows.withColumn("_part", F.pmod(F.xxhash64(KEY), wanted))
+    return split.repartition(2 * sum(files.values()), "year", "month", "_part").drop("_part")
 
 
 def _rewrite(

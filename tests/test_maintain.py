@@ -1,0 +1,185 @@
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import values
+from odmeter.plans import maintain
+from odmeter.reports import quality
+from odmeter.schemas import KEY, LANDING
+from odmeter.sinks import swap
+from odmeter.sinks.landing import write_landing
+from odmeter.sources import files
+from test_files import landing_frame, row
+
+DEC = ["2025-12"]
+
+
+def parquet_names(landing, month="12"):
+    return sorted(n for n in os.listdir(f"{landing}/year=2025/month={month}") if n.endswith(".parquet"))
+
+
+@pytest.fixture
+def landing(spark, tmp_path):
+    path = str(tmp_path / "landing")
+    write_landing(landing_frame(spark, row("a"), row("b"), row("a", "11")), path)
+    write_landing(landing_frame(spark, row("a", name="z", day="2025-12-02"), row("c")), path)
+    return path
+
+
+def test_month_is_unique_after_dedupe_and_other_months_are_untouched(spark, landing):
+    november = parquet_names(landing, "11")
+    (change,) = maintain.dedupe_months(spark, landing, DEC)
+    assert (change.rows_before, change.rows_after, change.rewritten) == (4, 3, True)
+    rows = files.read_landing(spark, landing, DEC)
+    assert values(rows, KEY, "ingestion_date") == [("a", "2025-12-01"), ("b", "2025-12-01"), ("c", "2025-12-01")]
+    assert parquet_names(landing, "11") == november
+    assert not os.path.exists(swap.staging_root(landing))
+
+
+def test_second_dedupe_and_clean_months_change_nothing(spark, landing):
+    maintain.dedupe_months(spark, landing, DEC)
+    names = parquet_names(landing)
+    (change,) = maintain.dedupe_months(spark, landing, DEC)
+    assert not change.rewritten and parquet_names(landing) == names
+
+
+def test_dry_run_only_reports(spark, landing):
+    names = parquet_names(landing)
+    (change,) = maintain.compact_months(spark, landing, DEC, dry_run=True)
+    assert (change.rows_before, change.rows_after, change.rewritten) == (4, 3, False)
+    assert parquet_names(landing) == names
+
+
+def test_every_touched_month_in_one_call(spark, landing):
+    write_landing(landing_frame(spark, row("a", "11")), landing)
+    changes = maintain.dedupe_months(spark, landing, ["2025-11", "2025-12", "2031-01"])
+    assert [(c.month, c.rows_after, c.rewritten) for c in changes] == [("2025-11", 1, True), ("2025-12", 3, True)]
+
+
+def test_compaction_gives_one_file_and_is_idempotent(spark, landing):
+    before = files.list_landing(spark, landing, DEC).toPandas()
+    maintain.compact_months(spark, landing, DEC)
+    names = parquet_names(landing)
+    assert len(names) == 1 and files.read_landing(spark, landing, DEC).count() == 3
+    change = quality.file_stats_change(
+        spark.createDataFrame(before), files.list_landing(spark, landing, DEC)
+    ).first()
+    assert (change["files_before"], change["files_after"]) == (2, 1)
+    maintain.compact_months(spark, landing, DEC)
+    assert parquet_names(landing) == names
+
+
+def test_large_month_is_split_by_target_size(spark, tmp_path):
+    path = str(tmp_path / "landing")
+    for part in range(8):
+        write_landing(landing_frame(spark, *[row(f"{part}-{i}") for i in range(50)]), path)
+    size = swap.file_snapshot(spark, path, DEC)["2025-12"].size
+    maintain.compact_months(spark, path, DEC, target_bytes=size // 4)
+    assert 2 <= len(parquet_names(path)) <= 5 and files.read_landing(spark, path).count() == 400
+
+
+def test_unreadable_file_aborts_and_nothing_is_lost(spark, landing):
+    folder = files.month_folder(landing, "2025-12")
+    with open(f"{folder}/broken.parquet", "wb") as out:
+        out.write(b"PAR1 broken PAR1")
+    names = parquet_names(landing)
+    with pytest.raises(Exception):
+        maintain.compact_months(spark, landing, DEC)
+    assert parquet_names(landing) == names
+
+
+def staged(spark, landing, months=DEC):
+    before = swap.file_snapshot(spark, landing, months)
+    swap.stage_months(files.read_landing(spark, landing, months).coalesce(1), landing)
+    return before
+
+
+def test_wrong_count_is_refused(spark, landing):
+    before = staged(spark, landing)
+    names = parquet_names(landing)
+    with pytest.raises(swap.ReplaceRefused, match="staged rows"):
+        swap.swap_months(spark, landing, {"2025-12": 3}, before)
+    assert parquet_names(landing) == names
+
+
+def test_file_that_arrives_meanwhile_is_not_lost(spark, landing):
+    before = staged(spark, landing)
+    write_landing(landing_frame(spark, row("late")), landing)
+    with pytest.raises(swap.ReplaceRefused, match="came or went"):
+        swap.swap_months(spark, landing, {"2025-12": 4}, before)
+    assert files.read_landing(spark, landing, DEC).where("order_number = 'late'").count() == 1
+
+
+@pytest.mark.parametrize("moves", [0, 1, 2])
+def test_crash_at_any_point_of_the_swap_is_repaired(spark, landing, monkeypatch, moves):
+    before = staged(spark, landing)
+    done = []
+    real = swap.Folder.move
+
+    def cut_off(self, source, target):
+        if len(done) == moves:
+            raise KeyboardInterrupt
+        done.append(source)
+        real(self, source, target)
+
+    monkeypatch.setattr(swap.Folder, "move", cut_off)
+    if moves == 2:
+        monkeypatch.setattr(swap.Folder, "delete", lambda self, path: (_ for _ in ()).throw(KeyboardInterrupt()))
+    with pytest.raises(KeyboardInterrupt):
+        swap.swap_months(spark, landing, {"2025-12": 4}, before)
+    monkeypatch.undo()
+    swap.repair(spark, landing)
+    assert files.read_landing(spark, landing, DEC).count() == 4
+    assert not os.path.exists(swap.staging_root(landing))
+    maintain.dedupe_months(spark, landing, DEC)
+    assert files.read_landing(spark, landing, DEC).count() == 3
+
+
+def test_backup_without_staged_month_goes_back(spark, landing):
+    folder = swap.Folder(spark, landing)
+    backup = files.month_folder(f"{landing}__replaced", "2025-12")
+    folder.move(files.month_folder(landing, "2025-12"), backup)
+    assert swap.repair(spark, landing) == ["2025-12"]
+    assert files.read_landing(spark, landing, DEC).count() == 4
+
+
+@pytest.fixture
+def drifted(spark, tmp_path):
+    path = str(tmp_path / "landing")
+    write_landing(landing_frame(spark, row("old")).drop("ingestion_date"), path)
+    write_landing(landing_frame(spark, row("new"), row("hole")).withColumn(
+        "ingestion_date", F.when(F.col(KEY) == "new", F.col("ingestion_date"))), path)
+    write_landing(landing_frame(spark, row("done", "11")), path)
+    return path
+
+
+def test_backfill_fills_only_files_without_the_column(spark, drifted):
+    november = parquet_names(drifted, "11")
+    status = maintain.backfill_status(spark, drifted, ["2025-11", "2025-12"])
+    assert values(status, "status") == [("skipped",), ("skipped",), ("success",)]
+    counts = maintain.backfill_column(spark, drifted, ["2025-11", "2025-12"], "2024-12-31")
+    assert counts == {"success": 1, "skipped": 2}
+    rows = files.read_landing(spark, drifted)
+    assert values(rows, KEY, "ingestion_date") == [
+        ("done", "2025-12-01"), ("hole", None), ("new", "2025-12-01"), ("old", "2024-12-31"),
+    ]
+    assert parquet_names(drifted, "11") == november
+    assert maintain.backfill_column(spark, drifted, DEC, "2099-01-01") == {"skipped": 1}
+
+
+def test_backfill_dry_run(spark, drifted):
+    names = parquet_names(drifted)
+    assert maintain.backfill_column(spark, drifted, DEC, "x", dry_run=True) == {"success": 1, "skipped": 1}
+    assert parquet_names(drifted) == names
+
+
+def test_extra_columns_survive_a_rewrite(spark, tmp_path):
+    path = str(tmp_path / "landing")
+    for day in ("2025-12-01", "2025-12-02"):
+        extra = landing_frame(spark, row("a", day=day)).withColumn("note", F.lit(day))
+        extra.write.partitionBy("year", "month").mode("append").parquet(path)
+    maintain.dedupe_months(spark, path, DEC)
+    kept = spark.read.parquet(path)
+    assert "note" in kept.columns and values(kept, KEY, "note") == [("a", "2025-12-01")]
+    assert set(LANDING.fieldNames()) <= set(kept.columns)
