@@ -49,8 +49,12 @@ def _best_route(routes: DataFrame, on: list[str], name: str) -> DataFrame:
 
 
 def od_pairs(df: DataFrame) -> DataFrame:
-    """Distinct complete pairs and how many rows hold each of them (``n``)."""
-    return df.where(~C.any_missing(PAIR)).groupBy(*PAIR).agg(F.count(F.lit(1)).alias("n"))
+    """Distinct complete pairs and how many rows hold each of them (``n``).
+
+    The filter on the count is always true.  It keeps the count in every use of the pairs, so that all uses
+    have the same exchange and Spark runs it once.
+    """
+    return df.where(~C.any_missing(PAIR)).groupBy(*PAIR).agg(F.count(F.lit(1)).alias("n")).where("n > 0")
 
 
 def resolve_pairs(pairs: DataFrame, routes: DataFrame) -> DataFrame:

@@ -68,13 +68,18 @@ def split_even(df: DataFrame, parts: int, group: list[str], order: list, buckets
     return with_position(df, group, order, buckets).withColumn("part", part).drop("position", "group_rows")
 
 
+def files_in_time_order(files: DataFrame) -> DataFrame:
+    """Listing sorted by file time, ties by path."""
+    return files.orderBy("file_time", "file_path")
+
+
 def file_seq(files: DataFrame) -> DataFrame:
     """Adds ``file_seq`` (from 0): place of each file of a month in time order, ties by path.
 
     ``files`` is a listing, one row per file.
     """
     window = Window.partitionBy(MONTH).orderBy("file_time", "file_path")
-    return files.withColumn("file_seq", F.row_number().over(window) - 1)
+    return files.withColumn("file_seq", (F.row_number().over(window) - 1).cast("bigint"))
 
 
 def running_total(df: DataFrame, within: list[str], group: str = MONTH) -> DataFrame:

@@ -108,4 +108,4 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 def append_manifest(rows: DataFrame, path: str) -> None:
     """Appends commit rows; call it only after the data of the same files has been written."""
-    rows.select(*MANIFEST.fieldNames()).coalesce(1).write.mode("append").parquet(path)
+    rows.select(*MANIFEST.fieldNames()).hint("rebalance").write.mode("append").parquet(path)

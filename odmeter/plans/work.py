@@ -60,7 +60,8 @@ def plan_work(
     """
     labelled = with_mode(months, state, ctx, previous_month_rule, skip_completed).where(F.col("mode") != SKIP)
     rank = F.when(F.col("mode") == HISTORICAL, 0).when(F.col("mode") == PREVIOUS, 1).otherwise(2)
-    return labelled.withColumn("seq", F.row_number().over(Window.orderBy(rank, MONTH)) - 1)
+    seq = F.row_number().over(Window.orderBy(rank, MONTH)) - 1
+    return labelled.withColumn("seq", seq.cast("bigint"))
 
 
 def collect_tasks(plan: DataFrame) -> list[MonthTask]:

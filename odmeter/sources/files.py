@@ -5,6 +5,8 @@ Row order inside a run is (file time, path, row index); all three come from Spar
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -12,8 +14,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 from odmeter.functions import columns as C
 from odmeter.plans.work import MonthTask
 from odmeter.schemas import KEY, LANDING, MONTH, PAIR, require_columns
-from odmeter.sources.paths import existing
+from odmeter.sources.paths import Folder, existing
 
+MONTH_NAME = re.compile(r"\d{4}-\d{2}")
 MONTH_GLOB = "[0-9][0-9][0-9][0-9]-[0-9][0-9]"
 PARQUET_ONLY = "*.parquet"
 FILE_COLUMNS = [MONTH, "source_file", "file_path", "file_time", "row_index"]
@@ -50,9 +53,16 @@ def list_files(
 
 
 def list_partitions(spark: SparkSession, root: str, years: list[str] | None = None) -> DataFrame:
-    """Months that have at least one file, ascending.  A missing root raises."""
-    months = list_files(spark, month_glob(root, years)).select(MONTH).distinct()
-    return months.where(F.col(MONTH).isNotNull()).orderBy(MONTH)
+    """Months that have a directory, ascending.  A missing root raises.
+
+    Only the directory names of the root are listed, one per calendar month, not the files below them.
+    """
+    folder = Folder(spark, root)
+    if not folder.exists(root):
+        raise FileNotFoundError(root)
+    names = [n for n in folder.names(root) if MONTH_NAME.fullmatch(n)]
+    months = spark.createDataFrame([(n,) for n in names], f"{MONTH} string")
+    return months if years is None else months.where(F.substring(MONTH, 1, 4).isin(years))
 
 
 def with_file_columns(df: DataFrame) -> DataFrame:
