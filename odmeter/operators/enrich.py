@@ -153,7 +153,7 @@ def ask_routes(
     """Calls the routing function for each distinct pair and stores the answers reliably.
 
     ``connect`` is called in the tasks and returns a function (lon, lat, lon, lat) -> (metres, seconds)
-    that raises on failure.  ``callers`` tasks ask at the same time, each with ``in_flight`` requests.
+    that raises on failure and may be called from several threads.  ``callers`` tasks ask at the same time, each with ``in_flight`` requests.
     The answers are checkpointed, so that no pair is asked again by later use of the result.
     """
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from odmeter.context import RunContext
 from odmeter.operators import clean
 from odmeter.operators.dedupe import SOURCE_ORDER, dedupe_batch_against, dedupe_within_file
-from odmeter.operators.enrich import enrich_geodesic, enrich_routes
+from odmeter.operators.enrich import Route, enrich_geodesic, enrich_routes, enrich_with
 from odmeter.plans.bookmark import HISTORICAL, append_manifest, bookmark_state, read_manifest
 from odmeter.plans.work import MonthTask, collect_tasks, plan_work
 from odmeter.reports.quality import quality_counts, throughput
@@ -43,6 +43,11 @@ def by_estimate(**options: float) -> Enrich:
     return lambda rows, scanned: enrich_geodesic(rows, **options)
 
 
+def by_provider(connect: Callable[[], Route], callers: int, **options) -> Enrich:
+    """Enrichment by a caller's routing function; only pairs that are left after cleaning are asked."""
+    return lambda rows, scanned: enrich_with(rows, connect, callers, **options)
+
+
 @dataclass
 class IngestOptions:
     """What may differ between runs; the defaults follow the production rule."""

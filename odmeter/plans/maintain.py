@@ -12,7 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from odmeter.operators.dedupe import dedupe_month, dedupe_report
 from odmeter.reports.quality import backfill_counts
 from odmeter.schemas import KEY, MONTH
-from odmeter.sinks.swap import file_snapshot, repair, stage_months, swap_months
+from odmeter.sinks.swap import file_snapshot, repair, replace_months
 from odmeter.sources.files import landed_schema, read_landing
 
 # Fixed value: rows per file after daily de-duplication.
@@ -83,8 +83,8 @@ def _rewrite(
     todo = [m for m in months if due(m)]
     if todo and not dry_run:
         chosen = read_landing(spark, landing, todo, rows.schema)
-        stage_months(_spread(dedupe_month(chosen, scope_key), files), landing, max_records)
-        swap_months(spark, landing, {m: counts[m][1] for m in todo}, {m: before[m] for m in todo})
+        unique = _spread(dedupe_month(chosen, scope_key), {m: files[m] for m in todo})
+        replace_months(unique, landing, {m: counts[m][1] for m in todo}, before, max_records)
     return [
         MonthChange(m, *counts.get(m, (0, 0)), before[m].files, before[m].size, m in todo and not dry_run)
         for m in months
@@ -157,7 +157,7 @@ def backfill_column(
     target_bytes: int = TARGET_FILE_BYTES,
     dry_run: bool = False,
 ) -> dict[str, int]:
-    """Adds ``column`` with a constant to the rows of files that lack it; returns files per status.
+    """Adds the text ``column`` with a constant to rows of files that lack it; returns files per status.
 
     A NULL in a file that has the column stays NULL.  Months in which every file has the column are not
     rewritten.  An unreadable file raises before anything is replaced.
@@ -175,6 +175,5 @@ def backfill_column(
         rows = read_with_absent_mark(spark, landing, sorted(due), column)
         value_col = F.when(F.col(column) == _ABSENT, value).otherwise(F.col(column))
         files = {m: _files_wanted(before[m].size, target_bytes) for m in due}
-        stage_months(_spread(rows.withColumn(column, value_col), files), landing)
-        swap_months(spark, landing, due, {m: before[m] for m in due})
+        replace_months(_spread(rows.withColumn(column, value_col), files), landing, due, before)
     return result

@@ -32,6 +32,9 @@ def build_session(app: str = "odmeter", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+_SHIPPED: set[str] = set()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor reaches: ``spark.checkpoint.dir`` of the session.
 
@@ -67,9 +70,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def ship_package(spark: SparkSession) -> None:
     """Hands this package to the Python workers, as ``--py-files`` would; once per application."""
     context = spark.sparkContext
-    if any(name.startswith("odmeter-") for name in context._python_includes):
+    if context.applicationId in _SHIPPED:
         return
     package = os.path.dirname(os.path.abspath(__file__))
     name = os.path.join(tempfile.mkdtemp(prefix="odmeter-"), f"odmeter-{uuid.uuid4().hex}")
     archive = shutil.make_archive(name, "zip", os.path.dirname(package), os.path.basename(package))
     context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)

@@ -91,6 +91,18 @@ def swap_months(
     folder.delete(staging_root(landing))
 
 
+def replace_months(
+    rows: DataFrame,
+    landing: str,
+    expected_rows: dict[str, int],
+    read_files: dict[str, MonthFiles],
+    max_records: int | None = None,
+) -> None:
+    """Replaces the months of ``rows``: stage, verify, swap."""
+    stage_months(rows, landing, max_records)
+    swap_months(rows.sparkSession, landing, expected_rows, read_files)
+
+
 def repair(spark: SparkSession, landing: str) -> list[str]:
     """Finishes or undoes swaps that were cut off; returns the months that were touched.
 

@@ -29,11 +29,10 @@ class Store:
     def put(self, month, name, keys, mtime):
         write_file(self.spark, self.source, month, name, keys, mtime)
 
-    def run(self, day, **options):
+    def run(self, day, enrich=None, **options):
         opts = ingest.IngestOptions(**options)
-        return ingest.ingest_batch(
-            self.spark, self.source, self.landing, self.manifest, clock(day), ingest.by_estimate(), opts
-        )
+        by = enrich or ingest.by_estimate()
+        return ingest.ingest_batch(self.spark, self.source, self.landing, self.manifest, clock(day), by, opts)
 
     def stream(self, day, checkpoint="stream"):
         stream_ingest(
@@ -172,6 +171,37 @@ def test_strict_run_fails_on_a_bad_file(store):
     assert store.state() == {}
 
 
+def test_truly_empty_month_directory(store):
+    os.makedirs(f"{store.source}/2025-09")
+    store.run("2025-12-01")
+    assert store.state()["2025-09"] == (True, False)
+
+
+def test_box_and_valid_copies_are_options(store):
+    assert store.run("2025-12-01", bbox={"lat": (50.0, 60.0), "lon": (0.0, 10.0)}, prefer_valid=True).rows == 0
+    assert store.state()["2025-11"] == (True, False)
+
+
+def test_routing_function_feeds_a_run(store):
+    def connect():
+        return lambda *pair: (1234.0, 56.0)
+
+    assert store.run("2025-12-01", enrich=ingest.by_provider(connect, callers=2)).rows == 5
+    assert set(store.landed("distance", "duration")) == {(1234.0, 56.0)}
+
+
+def test_route_table_feeds_a_run_and_unrouted_rows_do_not_land(store, spark):
+    from odmeter.schemas import PAIR
+
+    columns = ", ".join(f"{c} double" for c in PAIR) + ", distance double, duration double"
+    none = spark.createDataFrame([], columns)
+    report = store.run("2025-12-01", enrich=ingest.by_routes(none))
+    assert report.rows == 0 and store.state()["2025-11"] == (True, False)
+    one = spark.createDataFrame([(1.5, 1.5, 1.5, 1.5, 10.0, 2.0)], columns)
+    store.put("2025-12", "next.parquet", ["k8"], DEC_1 + DAY)
+    assert store.run("2025-12-02", enrich=ingest.by_routes(one)).rows == 1
+
+
 def test_years_limit_the_run(store):
     store.put("2024-05", "a.parquet", ["z"], DEC_1 - 300 * DAY)
     assert store.run("2025-12-01", years=["2024"]).months == ["2024-05"]
