@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from odmeter.llm import host_rules, mixing
+from odmeter.llm import bitpack, host_rules, mixing, packing
 
 QUERIES = {
     "op6_host_rules": host_rules.op6_host_rules,
+    "op7_bitpack_tokens": bitpack.op7_bitpack_tokens,
     "op9_mix_sources": mixing.op9_mix_sources,
+    "op10_best_fit_packing": packing.op10_best_fit_packing,
 }
 
 ORACLES = {
