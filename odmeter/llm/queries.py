@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from odmeter.llm import bitpack, host_rules, mixing, packing
+from odmeter.llm import bitpack, host_rules, mixing, packing, quality_model
 
 QUERIES = {
+    "op3_quality_classifier": quality_model.op3_quality_classifier,
     "op6_host_rules": host_rules.op6_host_rules,
     "op7_bitpack_tokens": bitpack.op7_bitpack_tokens,
     "op9_mix_sources": mixing.op9_mix_sources,
