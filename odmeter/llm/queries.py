@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from odmeter.llm import bitpack, host_rules, mixing, packing, quality_model
+from odmeter.llm import bitpack, host_rules, mixing, near_copies, near_vectors, packing, quality_model
 
 QUERIES = {
     "op3_quality_classifier": quality_model.op3_quality_classifier,
+    "op4_near_copies": near_copies.op4_near_copies,
+    "op5_near_vectors": near_vectors.op5_near_vectors,
     "op6_host_rules": host_rules.op6_host_rules,
     "op7_bitpack_tokens": bitpack.op7_bitpack_tokens,
     "op9_mix_sources": mixing.op9_mix_sources,
@@ -13,6 +15,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op5_near_vectors": near_vectors.ORACLE,
     "op6_host_rules": host_rules.ORACLE,
     "op9_mix_sources": mixing.ORACLE,
 }
