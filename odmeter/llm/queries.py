@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from odmeter.llm import bitpack, host_rules, mixing, near_copies, near_vectors, packing, quality_model
+from odmeter.llm import bitpack, host_rules, mixing, near_copies, near_vectors, packing, pii, quality_model
 
 QUERIES = {
+    "op2_personal_data": pii.op2_personal_data,
     "op3_quality_classifier": quality_model.op3_quality_classifier,
     "op4_near_copies": near_copies.op4_near_copies,
     "op5_near_vectors": near_vectors.op5_near_vectors,
