@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from odmeter.llm import bitpack, host_rules, mixing, near_copies, near_vectors, packing, pii, quality_model
+from odmeter.llm import bitpack, host_rules, mixing, near_copies, near_vectors, packing, pii, quality_model, repeats
 
 QUERIES = {
     "op2_personal_data": pii.op2_personal_data,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_near_vectors": near_vectors.op5_near_vectors,
     "op6_host_rules": host_rules.op6_host_rules,
     "op7_bitpack_tokens": bitpack.op7_bitpack_tokens,
+    "op8_remove_repeats": repeats.op8_remove_repeats,
     "op9_mix_sources": mixing.op9_mix_sources,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
 }
