@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from odmeter.llm import bitpack, host_rules, mixing, near_copies, near_vectors, packing, pii, quality_model, repeats
+import corpus_pipeline
+from odmeter.llm import bitpack, host_rules, lm_scoring, mixing, near_copies, near_vectors, packing, pii, quality_model, repeats
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
+    "op1_cross_entropy_difference": lm_scoring.op1_cross_entropy_difference,
     "op2_personal_data": pii.op2_personal_data,
     "op3_quality_classifier": quality_model.op3_quality_classifier,
     "op4_near_copies": near_copies.op4_near_copies,
