@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timezone
 
 
 @dataclass(frozen=True)
@@ -30,7 +30,8 @@ class RunContext:
 
     @property
     def previous_month(self) -> str:
-        return (self.now.replace(day=1) - timedelta(days=1)).strftime("%Y-%m")
+        year, month = divmod(self.now.year * 12 + self.now.month - 2, 12)
+        return f"{year:04d}-{month + 1:02d}"
 
     @property
     def run_date(self) -> str:

@@ -18,13 +18,9 @@ def file_hash(file_name: Column, length: int = 8) -> Column:
     return F.substring(F.md5(F.replace(file_name, F.lit(".parquet"), F.lit(""))), 1, length)
 
 
-def base_name(path: Column) -> Column:
-    return F.substring_index(path, "/", -1)
-
-
 def month_of_path(path: Column) -> Column:
-    """``YYYY-MM`` of the directory that directly holds the file, else NULL."""
-    found = F.regexp_extract(path, r"/(\d{4}-\d{2})/[^/]+$", 1)
+    """The innermost ``YYYY-MM`` directory that holds the file, directly or in folders below it, else NULL."""
+    found = F.regexp_extract(path, r"^.*/(\d{4}-\d{2})/", 1)
     return F.when(found != "", found)
 
 
@@ -48,8 +44,9 @@ def rounded(coordinate: Column) -> Column:
 
 
 def grid_cell(coordinate: Column) -> Column:
-    """The same rounding as an integer, which is a safe join key."""
-    return F.rint(coordinate * GRID).cast("bigint")
+    """The same rounding as an integer, which is a safe join key; NULL for NaN and for infinity."""
+    scaled = F.rint(coordinate * GRID)
+    return F.when(F.abs(scaled) < 1e18, scaled).cast("bigint")
 
 
 def missing(coordinate: Column) -> Column:

@@ -7,11 +7,12 @@ costs one row per task in the exchange and its final group is as small as the nu
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from odmeter.functions import columns as C
-from odmeter.operators.lookup import lookup_join
 from odmeter.schemas import KEY, MONTH, PAIR
 
 SOURCE_ORDER = ["file_time", "file_path", "row_index"]
@@ -105,24 +106,30 @@ def anti_join_existing(
 ) -> DataFrame:
     """Rows of ``new`` whose key has not landed in the same month; a NULL key matches a NULL key.
 
-    ``new`` may be raw rows with hot keys: landed keys are looked up with ``lookup_join``.  After
-    ``dedupe_batch`` every key is one row; ``dedupe_batch_against`` then saves a shuffle.
+    ``new`` may be raw rows with hot keys.  Both sides are shuffled once and joined as they are, without a
+    distinct of the landed keys, so that adaptive execution can split a skewed partition of ``new``.
     """
-    on = [*within, "_key", "_key_is_null"]
-    landed = _landed_keys(existing, key, on).withColumn("_landed", F.lit(True))
-    marked = lookup_join(with_key_parts(new, key), landed, on, ["_landed"])
-    return marked.where(F.col("_landed").isNull()).select(*new.columns)
+    return _not_landed(with_key_parts(new, key), existing, key, within).select(*new.columns)
 
 
-def _landed_keys(existing: DataFrame, key: str, on: list[str]) -> DataFrame:
-    return with_key_parts(existing, key).select(*on).distinct()
+def _not_landed(keyed: DataFrame, existing: DataFrame, key: str, within: list[str]) -> DataFrame:
+    on = [*within, "_key", "_key_is_null"]
+    return keyed.join(with_key_parts(existing, key).select(*on), on, "left_anti")
 
 
 def dedupe_batch_against(
-    new: DataFrame, existing: DataFrame, order: list[str | Column], key: str = KEY, within: list[str] = (MONTH,)
+    new: DataFrame,
+    existing: DataFrame,
+    order: list[str | Column],
+    key: str = KEY,
+    within: list[str] = (MONTH,),
+    between: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
-    """``dedupe_batch`` and ``anti_join_existing`` on one shuffle of the new rows."""
-    on = [*within, "_key", "_key_is_null"]
-    landed = _landed_keys(existing, key, on)
-    first = keep_first(with_key_parts(new, key), on, order)
-    return first.join(landed, on, "left_anti").select(*new.columns)
+    """``anti_join_existing``, then ``between``, then ``dedupe_batch``.
+
+    Landed keys go first, so that nothing is done for rows that cannot land.  Where ``between`` does not
+    shuffle, the anti-join and the keep-first share one shuffle of the new rows.
+    """
+    fresh = between(_not_landed(with_key_parts(new, key), existing, key, within))
+    first = keep_first(fresh, [*within, "_key", "_key_is_null"], order)
+    return first.drop("_key", "_key_is_null")

@@ -10,18 +10,22 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from odmeter.functions import columns as C
 from odmeter.operators.lookup import key_counts, lookup_join
 from odmeter.schemas import PAIR
 from odmeter.session import cut_lineage, ship_package
+from odmeter.sources.paths import existing
 
 _GRID = [f"_grid_{c}" for c in PAIR]
+ANSWERS = ["distance", "duration", "route_match"]
 
 # Attempts per pair, first waiting time in seconds, and the texts that decide.
 MAX_RETRIES = 5
@@ -29,6 +33,8 @@ FIRST_WAIT_S = 0.1
 NO_ROUTE_TEXT = "no route"
 DISCONNECTED_TEXT = "disconnected"
 
+PAIRS_PER_COMMIT = 1_000_000
+
 
 def enrich_geodesic(df: DataFrame, speed_mps: float = 8.0, detour: float = 1.3) -> DataFrame:
     """Great-circle metres times a detour factor, and seconds at a constant speed."""
@@ -45,37 +51,36 @@ def _with_grid(df: DataFrame) -> DataFrame:
 def _best_route(routes: DataFrame, on: list[str], name: str) -> DataFrame:
     """One route per key: lowest distance, then lowest duration."""
     best = F.min(F.struct("distance", "duration"))
-    return routes.where(F.col("distance").isNotNull()).groupBy(*on).agg(best.alias(name))
+    return routes.where(~C.missing(F.col("distance"))).groupBy(*on).agg(best.alias(name))
 
 
 def od_pairs(df: DataFrame) -> DataFrame:
     """Distinct complete pairs and how many rows hold each of them (``n``).
 
-    The filter on the count is always true.  It keeps the count in every use of the pairs, so that all uses
-    have the same exchange and Spark runs it once.
+    They are written once: the look-up of exact and rounded pairs and the counts of hot ones then read
+    them instead of aggregating the rows again.
     """
-    return df.where(~C.any_missing(PAIR)).groupBy(*PAIR).agg(F.count(F.lit(1)).alias("n")).where("n > 0")
+    return cut_lineage(df.where(~C.any_missing(PAIR)).groupBy(*PAIR).agg(F.count(F.lit(1)).alias("n")))
 
 
 def resolve_pairs(pairs: DataFrame, routes: DataFrame) -> DataFrame:
-    """Adds ``distance``, ``duration`` and ``route_match`` (exact, rounded, no_route) to distinct pairs."""
-    on_grid = _with_grid(pairs)
-    exact = on_grid.join(_best_route(routes, PAIR, "_exact"), PAIR, "left")
-    near = _best_route(_with_grid(routes), _GRID, "_near")
-    found = lookup_join(exact, near, _GRID, ["_near"], counts=key_counts(on_grid, _GRID), spread_by=PAIR)
-    return found.select(
-        *pairs.columns,
-        F.coalesce("_exact.distance", "_near.distance").alias("distance"),
-        F.coalesce("_exact.duration", "_near.duration").alias("duration"),
-        F.when(F.col("_exact").isNotNull(), "exact")
-        .when(F.col("_near").isNotNull(), "rounded")
-        .otherwise("no_route")
-        .alias("route_match"),
-    )
+    """Adds ``distance``, ``duration`` and ``route_match`` (exact, rounded, no_route) to distinct pairs.
+
+    Only pairs without an exact route go on to the second look-up, on the grid.
+    """
+    looked_up = cut_lineage(pairs.join(_best_route(routes, PAIR, "_route"), PAIR, "left"))
+    rest = _with_grid(looked_up.where(F.col("_route").isNull()).drop("_route"))
+    near = _best_route(_with_grid(routes), _GRID, "_route").where(reduce(and_, [F.col(g).isNotNull() for g in _GRID]))
+    on_grid = lookup_join(rest, near, _GRID, ["_route"], counts=key_counts(rest, _GRID), spread_by=PAIR)
 
+    def answered(found: DataFrame, match: str) -> DataFrame:
+        known = F.when(F.col("_route").isNotNull(), match).otherwise("no_route")
+        return found.select(*pairs.columns, "_route.distance", "_route.duration", known.alias("route_match"))
 
-def _attach(df: DataFrame, resolved: DataFrame, counts: DataFrame) -> DataFrame:
-    answers = ["distance", "duration", "route_match"]
+    return answered(looked_up.where(F.col("_route").isNotNull()), "exact").unionByName(answered(on_grid, "rounded"))
+
+
+def _attach(df: DataFrame, resolved: DataFrame, counts: DataFrame, answers: list[str] = ANSWERS) -> DataFrame:
     found = lookup_join(df, resolved, PAIR, answers, counts=counts)
     reason = F.when(C.any_missing(PAIR), "missing_coords").otherwise(
         F.coalesce("route_match", F.lit("no_route"))
@@ -149,12 +154,16 @@ def ask_routes(
     callers: int,
     in_flight: int = 30,
     max_retries: int = MAX_RETRIES,
+    store: str | None = None,
+    pairs_per_commit: int = PAIRS_PER_COMMIT,
 ) -> DataFrame:
     """Calls the routing function for each distinct pair and stores the answers reliably.
 
     ``connect`` is called in the tasks and returns a function (lon, lat, lon, lat) -> (metres, seconds)
     that raises on failure and may be called from several threads.  ``callers`` tasks ask at the same time, each with ``in_flight`` requests.
-    The answers are checkpointed, so that no pair is asked again by later use of the result.
+    The answers are checkpointed, so that no pair is asked again by later use of the result.  With
+    ``store``, a folder, they are appended there instead, ``pairs_per_commit`` pairs at a time, and pairs that it holds
+    are not asked: a run that was cut off goes on where it stopped.  Pairs that failed for want of retries are asked again.
     """
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -170,9 +179,34 @@ def ask_routes(
                 )
                 yield pd.concat([batch, answers.astype({"distance": float, "duration": float})], axis=1)
 
-    ship_package(pairs.sparkSession)
-    spread = pairs.select(*PAIR).repartition(callers, *PAIR)
-    return cut_lineage(spread.mapInPandas(ask, _ANSWER))
+    spark = pairs.sparkSession
+    ship_package(spark)
+
+    def answers(some: DataFrame) -> DataFrame:
+        return some.repartition(callers, *PAIR).mapInPandas(ask, _ANSWER)
+
+    wanted = pairs.select(*PAIR)
+    if store is None:
+        return cut_lineage(answers(wanted))
+    wanted = cut_lineage(wanted)
+    todo = cut_lineage(wanted.join(stored_answers(spark, store), PAIR, "left_anti"))
+    steps = -(-todo.count() // pairs_per_commit)
+    for step in range(steps):
+        part = todo.where(F.pmod(F.xxhash64(*PAIR), F.lit(steps)) == step)
+        answers(part).write.mode("append").parquet(store)
+    kept = spark.read.schema(_ANSWER).parquet(store) if existing(spark, [store]) else spark.createDataFrame([], _ANSWER)
+    # of several answers to a pair the latest good one: failed ones have been asked again
+    good = F.col("route_match") != "retries_exhausted"
+    best = kept.groupBy(*PAIR).agg(F.max(F.struct(good.alias("good"), "distance", "duration", "attempts", "route_match")).alias("a"))
+    return wanted.join(best, PAIR).select(*PAIR, "a.distance", "a.duration", "a.attempts", "a.route_match")
+
+
+def stored_answers(spark: SparkSession, store: str) -> DataFrame:
+    """Pairs that a store of answers need not be asked for again."""
+    if not existing(spark, [store]):
+        return spark.createDataFrame([], _ANSWER).select(*PAIR)
+    kept = spark.read.schema(_ANSWER).parquet(store)
+    return kept.where("route_match <> 'retries_exhausted'").select(*PAIR).distinct()
 
 
 def enrich_with(
@@ -182,14 +216,19 @@ def enrich_with(
     in_flight: int = 30,
     max_retries: int = MAX_RETRIES,
     routes: DataFrame | None = None,
+    store: str | None = None,
+    pairs_per_commit: int = PAIRS_PER_COMMIT,
 ) -> DataFrame:
-    """``enrich_routes`` with a caller's routing function; pairs found in ``routes`` are not asked."""
-    answers = ["distance", "duration", "route_match"]
+    """``enrich_routes`` with a caller's routing function; pairs found in ``routes`` are not asked.
+
+    Adds ``attempts`` too, NULL where nobody was asked.  ``store`` keeps answers for later runs, see ``ask_routes``.
+    """
+    answers = ["distance", "duration", "attempts", "route_match"]
     pairs = od_pairs(df)
-    if routes is None:
-        resolved = ask_routes(pairs, connect, callers, in_flight, max_retries).select(*PAIR, *answers)
-    else:
-        known = resolve_pairs(pairs.drop("n"), routes)
-        asked = ask_routes(known.where("route_match = 'no_route'"), connect, callers, in_flight, max_retries)
-        resolved = known.where("route_match <> 'no_route'").unionByName(asked.select(*PAIR, *answers))
-    return _attach(df, resolved, pairs)
+    known = None if routes is None else resolve_pairs(pairs.drop("n"), routes)
+    unknown = pairs if known is None else known.where("route_match = 'no_route'")
+    resolved = ask_routes(unknown, connect, callers, in_flight, max_retries, store, pairs_per_commit).select(*PAIR, *answers)
+    if known is not None:
+        found = known.where("route_match <> 'no_route'").withColumn("attempts", F.lit(None).cast("int"))
+        resolved = found.select(*PAIR, *answers).unionByName(resolved)
+    return _attach(df, resolved, pairs, answers)

@@ -1,9 +1,9 @@
 """Left join to a table that is unique on the join key, safe for hot and for missing keys.
 
 A key that holds a third of the left rows would put a third of the table into one join task.  Such keys
-are found exactly, from row counts that pre-aggregate before their shuffle, and get as many salts as
-their share asks for: a key with a third of the rows is split 341 ways.  The right side is copied once
-per salt of a hot key.  Shares add up to one, so there are at most ``SLICES`` hot keys and ``2 * SLICES``
+are found exactly, from row counts that pre-aggregate before their shuffle, and get one salt for every
+``SLICE_ROWS`` of their rows, or for every ``1 / SLICES`` of all rows where that is more.  The right side is
+copied once per salt of a hot key.  Shares add up to one, so there are at most ``SLICES`` hot keys and ``2 * SLICES``
 copies, whatever the table size; that bound is what makes the broadcast of the hot keys safe.  Rows with
 a missing key match nothing and are spread by a hash of the row.
 """
@@ -15,7 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SLICES = 1024
+SLICES = 65_536
+SLICE_ROWS = 2_000_000
 
 _SALT = "_salt"
 _SALTS = "_salts"
@@ -26,14 +27,14 @@ def key_counts(df: DataFrame, on: list[str]) -> DataFrame:
     return df.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
 
 
-def hot_keys(counts: DataFrame, on: list[str], slices: int = SLICES) -> DataFrame:
-    """Keys with at least ``1 / slices`` of all rows, and into how many salts to split each.
+def hot_keys(counts: DataFrame, on: list[str], slices: int = SLICES, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Keys with at least ``slice_rows`` rows and ``1 / slices`` of all, and into how many salts to split each.
 
     At most ``slices`` rows, because their counts add up to no more than the total.
     """
-    slice_rows = counts.agg(F.sum("n")).scalar() / F.lit(slices)
-    hot = counts.where(F.col("n") >= slice_rows)
-    return hot.select(*on, F.ceil(F.col("n") / slice_rows).cast("int").alias(_SALTS))
+    least = F.greatest(counts.agg(F.sum("n")).scalar() / F.lit(slices), F.lit(float(slice_rows)))
+    hot = counts.where(F.col("n") >= least)
+    return hot.select(*on, F.ceil(F.col("n") / least).cast("int").alias(_SALTS))
 
 
 def lookup_join(
@@ -44,6 +45,7 @@ def lookup_join(
     counts: DataFrame | None = None,
     spread_by: list[str | Column] | None = None,
     slices: int = SLICES,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """``left`` plus the columns ``values`` of ``right``; rows are never multiplied or lost.
 
@@ -55,7 +57,7 @@ def lookup_join(
     if counts is None:
         counts = key_counts(left, on)
     no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
-    hot = F.broadcast(hot_keys(counts.where(~no_key), on, slices))
+    hot = F.broadcast(hot_keys(counts.where(~no_key), on, slices, slice_rows))
 
     row_hash = F.xxhash64(*(spread_by or columns))
     # Every row of a missing key may go anywhere; every row of a cold key goes to salt 0.

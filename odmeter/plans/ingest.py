@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from odmeter.context import RunContext
 from odmeter.operators import clean
@@ -17,13 +18,14 @@ from odmeter.plans.bookmark import HISTORICAL, append_manifest, bookmark_state,
 from odmeter.plans.work import MonthTask, collect_tasks, plan_work
 from odmeter.reports.quality import quality_counts, throughput
 from odmeter.schemas import LANDING, MONTH
+from odmeter.session import cut_lineage
 from odmeter.sinks.landing import BLOCK_ROWS, write_landing
 from odmeter.sources.files import (
     FILE_COLUMNS,
-    confirm_empty,
+    delta_filter,
+    empty_files,
     list_delta,
     list_partitions,
-    month_glob,
     read_delta,
     read_existing_keys,
     read_landing,
@@ -48,9 +50,18 @@ def by_provider(connect: Callable[[], Route], callers: int, **options) -> Enrich
     return lambda rows, scanned: enrich_with(rows, connect, callers, **options)
 
 
+# Source bytes after which a run commits what it has landed; a larger month is one step.
+COMMIT_BYTES = 256 << 30
+
+
 @dataclass
 class IngestOptions:
-    """What may differ between runs; the defaults follow the production rule."""
+    """What may differ between runs; the defaults follow the production rule.
+
+    schema         types of the source columns; by default those of the files
+    commit_bytes   months are landed and committed in steps of about so many source bytes, so that a run that is
+                   cut off goes on after its last step
+    """
 
     years: list[str] | None = None
     previous_month_rule: bool = True
@@ -59,12 +70,18 @@ class IngestOptions:
     bbox: dict | None = None
     on_bad_number: str = "raise"
     tolerant: bool = False
+    schema: StructType | None = None
+    commit_bytes: int = COMMIT_BYTES
     max_records: int | None = BLOCK_ROWS
 
 
 @dataclass
 class IngestReport:
-    """Outcome of a run, for logs and for month maintenance."""
+    """Outcome of a run, for logs and for month maintenance.
+
+    ``held_back`` are months with unreadable files; those of them that are committed up to the first such file are in
+    ``partly`` too.
+    """
 
     tasks: list[MonthTask]
     rows: int = 0
@@ -72,6 +89,7 @@ class IngestReport:
     seconds: float = 0.0
     committed: list[str] = field(default_factory=list)
     held_back: list[str] = field(default_factory=list)
+    partly: list[str] = field(default_factory=list)
 
     @property
     def months(self) -> list[str]:
@@ -89,12 +107,6 @@ def prepare(scanned: DataFrame, options: IngestOptions, order: list[str] = SOURC
     return rows if options.bbox is None else clean.within_bbox(rows, options.bbox)
 
 
-def land(enriched: DataFrame, existing: DataFrame, ctx: RunContext, order: list[str] = SOURCE_ORDER) -> DataFrame:
-    """Routed rows that are new in their month, with lineage and partition columns."""
-    new = dedupe_batch_against(clean.drop_unrouted(enriched), existing, order)
-    return clean.with_year_month(clean.with_lineage(new, ctx)).select(*LANDING.fieldNames())
-
-
 def ingest_rows(
     scanned: DataFrame,
     existing: DataFrame,
@@ -103,10 +115,17 @@ def ingest_rows(
     options: IngestOptions | None = None,
     order: list[str] = SOURCE_ORDER,
 ) -> DataFrame:
-    """The whole row pipeline as one lazy DataFrame, for batches and for micro-batches."""
+    """The whole row pipeline, for batches and for micro-batches: routed rows that are new in their month, with
+    lineage and partition columns.
+
+    Rows whose key has landed go before enrichment: nothing is looked up or asked for them.
+    """
     options = options or IngestOptions()
     od = clean.select_od(scanned, FILE_COLUMNS, on_bad_number=options.on_bad_number)
-    return land(enrich(prepare(od, options, order), od), existing, ctx, order)
+    new = dedupe_batch_against(
+        prepare(od, options, order), existing, order, between=lambda rows: clean.drop_unrouted(enrich(rows, od))
+    )
+    return clean.with_year_month(clean.with_lineage(new, ctx)).select(*LANDING.fieldNames())
 
 
 def ingest_batch(
@@ -118,7 +137,7 @@ def ingest_batch(
     enrich: Enrich,
     options: IngestOptions | None = None,
 ) -> IngestReport:
-    """Runs all planned months in one job, then commits them.
+    """Runs the planned months in order, in steps of ``commit_bytes``, and commits each step.
 
     The commit follows the write.  A crash between the two makes the next run read the same files again,
     and the anti-join keeps that from adding rows.
@@ -134,20 +153,36 @@ def ingest_batch(
         return report
 
     delta = list_delta(spark, source, tasks)
-    has_files = {r[MONTH] for r in delta.select(MONTH).distinct().collect()}
-    with_files = [t for t in tasks if t.month in has_files]
-    if with_files:
-        scanned = read_delta(spark, source, with_files, tolerant=options.tolerant)
-        existing = read_existing_keys(spark, landing, [t.month for t in with_files])
-        write_landing(ingest_rows(scanned, existing, enrich, ctx, options), landing, options.max_records)
+    sizes = {r[MONTH]: r["size"] for r in delta.groupBy(MONTH).agg(F.sum("file_size").alias("size")).collect()}
+    for step in commit_steps(tasks, sizes, options.commit_bytes):
+        with_files = [t for t in step if t.month in sizes]
+        if with_files:
+            scanned = read_delta(spark, source, with_files, options.schema, options.tolerant)
+            existing = read_existing_keys(spark, landing, [t.month for t in with_files])
+            write_landing(ingest_rows(scanned, existing, enrich, ctx, options), landing, options.max_records)
+        files = delta.where(F.col(MONTH).isin([t.month for t in with_files]))
+        commit_months(spark, source, landing, manifest, step, files, set(sizes), ctx, report, options.tolerant)
+    if sizes:
         report.quality = quality_counts(landed_by(spark, landing, tasks, ctx)).first().asDict()
         report.rows = report.quality["rows"]
-
-    commit_months(spark, source, landing, manifest, tasks, delta, has_files, ctx, report, options.tolerant)
     report.seconds = time.monotonic() - started
     return report
 
 
+def commit_steps(tasks: list[MonthTask], sizes: dict[str, int], commit_bytes: int) -> list[list[MonthTask]]:
+    """The queue cut, in order, where a step has reached ``commit_bytes``; at least one month each."""
+    steps: list[list[MonthTask]] = [[]]
+    held = 0
+    for task in tasks:
+        size = sizes.get(task.month, 0)
+        if steps[-1] and held + size > commit_bytes:
+            steps.append([])
+            held = 0
+        steps[-1].append(task)
+        held += size
+    return steps
+
+
 def landed_by(spark: SparkSession, landing: str, tasks: list[MonthTask], ctx: RunContext) -> DataFrame:
     """Rows that this run has landed.  A file holds one run time, so older files are skipped by their statistics."""
     rows = read_landing(spark, landing, [t.month for t in tasks])
@@ -171,17 +206,22 @@ def commit_months(
     Where files were left out by a tolerant read, an incremental month is committed only up to the first
     of them and a historical month not at all.  An incremental month without new files gets no row.
     """
+    has_files = {t.month for t in tasks} & has_files
     modes = F.create_map(*[F.lit(text) for t in tasks for text in (t.month, t.mode)])
     files = delta.withColumn("mode", modes[F.col(MONTH)])
 
     if tolerant:
-        unread = unread_files(spark, delta, [month_glob(source)])
-        if not confirm_empty(spark, unread):
-            first_bad = unread.groupBy(MONTH).agg(F.min("file_time").alias("_first_bad"))
-            report.held_back = [r[MONTH] for r in first_bad.select(MONTH).collect()]
+        with_files = [t for t in tasks if t.month in has_files]
+        paths, only = [f"{source}/{t.month}" for t in with_files], delta_filter(with_files)
+        if with_files:
+            unread = unread_files(spark, delta, paths, only).join(empty_files(spark, paths, only), "file_path", "left_anti")
+            first_bad = cut_lineage(unread.groupBy(MONTH).agg(F.min("file_time").alias("_first_bad")))
+            held = [r[MONTH] for r in first_bad.select(MONTH).collect()]  # one row per month
             files = files.join(F.broadcast(first_bad), MONTH, "left").where(
                 F.col("_first_bad").isNull() | ((F.col("mode") != HISTORICAL) & (F.col("file_time") < F.col("_first_bad")))
             )
+            report.held_back = sorted({*report.held_back, *held})
+            report.partly = sorted({*report.partly, *(r[MONTH] for r in files.where(F.col(MONTH).isin(held)).select(MONTH).distinct().collect())})
 
     landed = (
         landed_by(spark, landing, tasks, ctx)
@@ -197,5 +237,6 @@ def commit_months(
         markers = spark.createDataFrame(closed, f"{MONTH} string, mode string")
         commits = commits.unionByName(markers, allowMissingColumns=True)
     append_manifest(commits.withColumn("run_ts", F.lit(ctx.run_ts)), manifest)
-    report.committed = sorted((has_files | {m for m, _ in closed}) - set(report.held_back))
+    done = (has_files | {m for m, _ in closed}) - set(report.held_back)
+    report.committed = sorted({*report.committed, *done})
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from odmeter.operators.dedupe import dedupe_month, dedupe_report
 from odmeter.reports.quality import backfill_counts
 from odmeter.schemas import KEY, MONTH
+from odmeter.session import cut_lineage
 from odmeter.sinks.swap import file_snapshot, repair, replace_months
 from odmeter.sources.files import landed_schema, read_landing
 
@@ -22,13 +24,15 @@ TARGET_FILE_BYTES = 1 << 30
 
 @dataclass(frozen=True)
 class MonthChange:
-    """What maintenance found in a month, and whether it was rewritten."""
+    """What maintenance found in a month, what it left, and whether it was rewritten."""
 
     month: str
     rows_before: int
     rows_after: int
     files_before: int
     bytes_before: int
+    files_after: int
+    bytes_after: int
     rewritten: bool
 
 
@@ -36,11 +40,11 @@ def _files_wanted(size: int, target_bytes: int) -> int:
     return max(1, math.ceil(size / target_bytes))
 
 
-def _spread(rows: DataFrame, files: dict[str, int]) -> DataFrame:
+def _spread(rows: DataFrame, files: dict[str, int], by: list[str] = (KEY,)) -> DataFrame:
     """Shuffles so that month ``m`` ends in at most ``files[m]`` tasks, hence files.
 
-    A month below the target size goes to one task; a large one is split by a hash of the key, so that no
-    task takes a whole large month.  The number of tasks follows the number of files (twice that, so that
+    A month below the target size goes to one task; a large one is split by a hash of ``by`` (the key, which is
+    unique after de-duplication), so that no task takes a whole large month.  The number of tasks follows the number of files (twice that, so that
     few files share a task), not the session default.
     """
     wanted: Column = F.lit(1)
@@ -48,7 +52,7 @@ def _spread(rows: DataFrame, files: dict[str, int]) -> DataFrame:
         if n > 1:
             here = (F.col("year") == month[:4]) & (F.col("month") == month[5:])
             wanted = F.when(here, n).otherwise(wanted)
-    split = rows.withColumn("_part", F.pmod(F.xxhash64(KEY), wanted))
+    split = rows.withColumn("_part", F.pmod(F.xxhash64(*by), wanted))
     return split.repartition(2 * sum(files.values()), "year", "month", "_part").drop("_part")
 
 
@@ -85,8 +89,12 @@ def _rewrite(
         chosen = read_landing(spark, landing, todo, rows.schema)
         unique = _spread(dedupe_month(chosen, scope_key), {m: files[m] for m in todo})
         replace_months(unique, landing, {m: counts[m][1] for m in todo}, before, max_records)
+    after = file_snapshot(spark, landing, months) if todo and not dry_run else before
     return [
-        MonthChange(m, *counts.get(m, (0, 0)), before[m].files, before[m].size, m in todo and not dry_run)
+        MonthChange(
+            m, *counts.get(m, (0, 0)), before[m].files, before[m].size, after[m].files, after[m].size,
+            m in todo and not dry_run,
+        )
         for m in months
     ]
 
@@ -126,8 +134,10 @@ def compact_months(
 _ABSENT = "\u0000absent"
 
 
-def read_with_absent_mark(spark: SparkSession, landing: str, months: list[str], column: str) -> DataFrame:
-    """Landed rows, in which a file that lacks ``column`` shows a mark instead of NULL.
+def read_with_absent_mark(
+    spark: SparkSession, landing: str, months: list[str], column: str, paths: list[str] | None = None
+) -> DataFrame:
+    """Landed rows (of the files ``paths`` only, where given), in which a file that lacks ``column`` shows a mark instead of NULL.
 
     The mark is the default value of the column in the read schema: Spark fills it in for files written
     before the column existed, and leaves a NULL that a file really holds as it is.
@@ -136,6 +146,8 @@ def read_with_absent_mark(spark: SparkSession, landing: str, months: list[str],
     default = {"CURRENT_DEFAULT": f"'{_ABSENT}'", "EXISTS_DEFAULT": f"'{_ABSENT}'"}
     others = [f for f in schema if f.name != column]
     marked = StructType([*others[:-2], StructField(column, StringType(), True, default), *others[-2:]])
+    if paths is not None:
+        return spark.read.schema(marked).option("basePath", landing).parquet(*paths)
     return read_landing(spark, landing, months, marked)
 
 
@@ -159,21 +171,27 @@ def backfill_column(
 ) -> dict[str, int]:
     """Adds the text ``column`` with a constant to rows of files that lack it; returns files per status.
 
-    A NULL in a file that has the column stays NULL.  Months in which every file has the column are not
-    rewritten.  An unreadable file raises before anything is replaced.
+    A NULL in a file that has the column stays NULL.  Only the files that lack the column are read and replaced; the others
+    keep their names and times.  Months go one after the other, and only the paths of a month's old files come to the
+    driver.  An unreadable file raises before anything of its month is replaced.
     """
     repair(spark, landing)
     before = file_snapshot(spark, landing, months)
     months = [m for m in months if m in before]
     if not months:
         return {}
-    status = backfill_status(spark, landing, months, column)
+    status = cut_lineage(backfill_status(spark, landing, months, column))
     result = {r["status"]: r["files"] for r in backfill_counts(status).collect()}
-    per_month = status.groupBy(MONTH).agg(F.sum("rows").alias("rows"), F.bool_or(F.col("status") == "success").alias("due"))
-    due = {r[MONTH]: r["rows"] for r in per_month.collect() if r["due"]}
-    if due and not dry_run:
-        rows = read_with_absent_mark(spark, landing, sorted(due), column)
-        value_col = F.when(F.col(column) == _ABSENT, value).otherwise(F.col(column))
-        files = {m: _files_wanted(before[m].size, target_bytes) for m in due}
-        replace_months(_spread(rows.withColumn(column, value_col), files), landing, due, before)
+    old = status.where(F.col("status") == "success")
+    per_month = {r[MONTH]: r["rows"] for r in old.groupBy(MONTH).agg(F.sum("rows").alias("rows")).collect()}
+    for month in [] if dry_run else sorted(per_month):
+        paths = [r["file_path"] for r in old.where(F.col(MONTH) == month).select("file_path").collect()]
+        names = [unquote(p.rsplit("/", 1)[1]) for p in paths]
+        rows = read_with_absent_mark(spark, landing, [month], column, paths)
+        place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+        filled = F.when(F.col(column) == _ABSENT, value).otherwise(F.col(column)).alias(column)
+        rows = rows.select(*[filled if c == column else F.col(c) for c in rows.columns], *place)
+        files = {month: _files_wanted(before[month].size, target_bytes)}
+        spread = _spread(rows, files, ["_file", "_row"]).drop("_file", "_row")
+        replace_months(spread, landing, {month: per_month[month]}, before, retire={month: names})
     return result

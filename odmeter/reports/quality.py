@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from odmeter.functions import columns as C
@@ -67,6 +67,11 @@ def throughput(rows: int, seconds: float) -> float | None:
     return round(rows / seconds, 2) if seconds > 0 else None
 
 
+def throughput_column(rows: Column, seconds: Column) -> Column:
+    """The same for a table of runs; NULL where no time has passed."""
+    return F.when(seconds > 0, F.round(rows / seconds, 2))
+
+
 def backfill_counts(files: DataFrame) -> DataFrame:
     """Files per ``status`` (success, skipped, error)."""
     return files.groupBy("status").agg(F.count(F.lit(1)).alias("files"))

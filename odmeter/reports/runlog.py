@@ -53,7 +53,7 @@ def run_log_stats(logs: DataFrame, order: list[str] = LINE_ORDER) -> DataFrame:
     that is not empty.  ``order`` gives the place of a line in its file.
     """
     place = F.struct(*order)
-    total = F.replace(_match(TOTAL_PATTERN), F.lit(","), F.lit("")).cast("bigint")
+    total = F.replace(_match(TOTAL_PATTERN), F.lit(","), F.lit("")).try_cast("bigint")
     stamp = F.trim(F.substring_index("line", " - ", 1))
     month = _match(MONTH_PATTERN)
     return (
@@ -82,7 +82,8 @@ def run_log_months(logs: DataFrame, order: list[str] = LINE_ORDER) -> DataFrame:
 def top_messages(logs: DataFrame, order: list[str] = LINE_ORDER) -> DataFrame:
     """What a run message shows per file: the first months, warnings and errors, and how many more.
 
-    This is a top-k report: the limits are what a message holds, the ``more_*`` columns count the rest.
+    This is a top-k report: the limits are what a message holds, the ``more_*`` columns count the rest.  A
+    file without any of them has empty lists.
     """
     kinds = F.filter(
         F.array(
@@ -112,8 +113,12 @@ def top_messages(logs: DataFrame, order: list[str] = LINE_ORDER) -> DataFrame:
         return F.transform(F.array_sort(F.collect_list(shown)), lambda e: e["text"]).alias(f"{kind}s")
 
     shown = first.groupBy("file_name").agg(*[texts(k) for k in SHOWN])
-    more = [F.greatest(F.col(f"_all_{k}") - n, F.lit(0)).alias(f"more_{k}s") for k, n in SHOWN.items()]
-    return shown.join(counts, "file_name").select("file_name", *[f"{k}s" for k in SHOWN], *more)
+    none = F.array().cast("array<string>")
+    lists = [F.coalesce(f"{k}s", none).alias(f"{k}s") for k in SHOWN]
+    more = [F.greatest(F.coalesce(f"_all_{k}", F.lit(0)) - n, F.lit(0)).alias(f"more_{k}s") for k, n in SHOWN.items()]
+    every = logs.select("file_name").distinct()
+    found = every.join(shown, "file_name", "left").join(counts, "file_name", "left")
+    return found.select("file_name", *lists, *more)
 
 
 def runs_of(stats: DataFrame) -> DataFrame:

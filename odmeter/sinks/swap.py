@@ -1,13 +1,22 @@
-"""Replace months of the landing table: stage, verify, swap, and repair after a crash.
+"""Replace files of landed months: stage, verify, swap, and repair after a crash.
 
 A path is never overwritten while it is read.  The new rows go to a staging table beside the landing
 table; only when the row counts are as expected, and the month still holds exactly the files that were
-read, is the old directory moved aside and the staged one moved in.  The old directory is deleted last.
-``repair`` finishes or undoes a swap that was cut off; moves are metadata operations on HDFS-like stores.
+read, does the swap begin.  It works file by file, because on an object store a move of a directory is a
+copy of its files:
+
+1. an *intent* names the files that go and the files that come, each with its size;
+2. exactly the files that were read move to the backup folder; files that arrived meanwhile stay where they are;
+3. the staged files move in, a *done* mark is written, and only then the backup is deleted.
+
+``repair`` reads the intent.  Without a done mark it goes forward if every new file is complete, by name
+and size, in the month or in staging; else it goes back.  A copy is deleted only where the other is complete.
+Between steps 2 and 3 a reader sees the month without the old rows or with a part of the new ones.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +26,8 @@ from odmeter.schemas import MONTH
 from odmeter.sources.files import list_landing, month_folder, read_landing
 from odmeter.sources.paths import Folder, existing
 
+INTENT, DONE = "_intent", "_done"
+
 
 class ReplaceRefused(RuntimeError):
     """The month was left as it is."""
@@ -63,14 +74,24 @@ def stage_months(rows: DataFrame, landing: str, max_records: int | None = None)
 
 
 def swap_months(
-    spark: SparkSession, landing: str, expected_rows: dict[str, int], read_files: dict[str, MonthFiles]
+    spark: SparkSession,
+    landing: str,
+    expected_rows: dict[str, int],
+    read_files: dict[str, MonthFiles],
+    retire: dict[str, list[str]] | None = None,
 ) -> None:
-    """Moves staged months in, after checking all of them.
+    """Moves staged files in and the files that were read out, month by month, after checking all of them.
 
     expected_rows   rows that each staged month must have
     read_files      ``file_snapshot`` taken before the rows were read
+    retire          names of the files that go, by month; all that were read by default
+
+    File names of one month at a time are on the driver.
     """
     months = sorted(expected_rows)
+    folder = Folder(spark, landing)
+    # Listed before the check: what arrives after the list makes the check fail, or stays.
+    old = {m: folder.sizes(month_folder(landing, m)) for m in months}
     staged = read_landing(spark, staging_root(landing), months).groupBy("year", "month").agg(F.count(F.lit(1)).alias("n"))
     counted = {f"{r['year']}-{r['month']}": r["n"] for r in staged.collect()}
     wrong = {m: (expected_rows[m], counted.get(m, 0)) for m in months if expected_rows[m] != counted.get(m, 0)}
@@ -81,12 +102,16 @@ def swap_months(
     if changed:
         raise ReplaceRefused(f"files came or went since the months were read: {changed}")
 
-    folder = Folder(spark, landing)
     for month in months:
-        live = month_folder(landing, month)
-        backup = month_folder(_backup_root(landing), month)
-        folder.move(live, backup)
-        folder.move(month_folder(staging_root(landing), month), live)
+        live, backup, new = (month_folder(root, month) for root in (landing, _backup_root(landing), staging_root(landing)))
+        going = old[month] if retire is None else {n: old[month][n] for n in retire[month]}
+        coming = folder.sizes(new)
+        folder.write(f"{backup}/{INTENT}", json.dumps({"old": going, "new": coming}))
+        for name in going:
+            folder.move(f"{live}/{name}", f"{backup}/{name}")
+        for name in coming:
+            folder.move(f"{new}/{name}", f"{live}/{name}")
+        folder.write(f"{backup}/{DONE}", "")
         folder.delete(backup)
     folder.delete(staging_root(landing))
 
@@ -97,17 +122,17 @@ def replace_months(
     expected_rows: dict[str, int],
     read_files: dict[str, MonthFiles],
     max_records: int | None = None,
+    retire: dict[str, list[str]] | None = None,
 ) -> None:
-    """Replaces the months of ``rows``: stage, verify, swap."""
+    """Replaces the months of ``rows``, or the files ``retire`` of them: stage, verify, swap."""
     stage_months(rows, landing, max_records)
-    swap_months(rows.sparkSession, landing, expected_rows, read_files)
+    swap_months(rows.sparkSession, landing, expected_rows, read_files, retire)
 
 
 def repair(spark: SparkSession, landing: str) -> list[str]:
     """Finishes or undoes swaps that were cut off; returns the months that were touched.
 
-    A backup without a live month: the verified staged month is moved in, or else the backup is moved
-    back.  A backup beside a live month: the swap was done, the backup goes.
+    Raises ``ReplaceRefused``, and deletes nothing, where neither the old nor the new files are complete.
     """
     folder = Folder(spark, landing)
     backups = _backup_root(landing)
@@ -115,15 +140,49 @@ def repair(spark: SparkSession, landing: str) -> list[str]:
     for year in folder.names(backups):
         for month in folder.names(f"{backups}/{year}"):
             place = f"{year}/{month}"
-            live, backup, staged = (f"{root}/{place}" for root in (landing, backups, staging_root(landing)))
-            if folder.exists(live):
-                folder.delete(backup)
-            elif folder.exists(staged):
-                folder.move(staged, live)
-                folder.delete(backup)
-            else:
-                folder.move(backup, live)
+            _repair_month(folder, *(f"{root}/{place}" for root in (landing, backups, staging_root(landing))))
             touched.append(place.replace("year=", "").replace("/month=", "-"))
     folder.delete(backups)
     folder.delete(staging_root(landing))
     return touched
+
+
+def _repair_month(folder: Folder, live: str, backup: str, staged: str) -> None:
+    if folder.exists(f"{backup}/{DONE}"):
+        folder.delete(backup)
+        return
+    places = {where: folder.sizes(where) for where in (live, backup, staged)}
+    try:
+        intent = json.loads(folder.read(f"{backup}/{INTENT}")) if folder.exists(f"{backup}/{INTENT}") else None
+    except ValueError:  # cut off while it was written: no file has moved yet
+        intent = {"old": {}, "new": {}}
+    if intent is None:  # a backup of unknown origin: its files go back where the month lacks them
+        intent = {"old": places[backup], "new": {}}
+
+    def whole(where: str, name: str, size: int) -> bool:
+        return places[where].get(name) == size
+
+    def bring(name: str, size: int, source: str, target: str) -> None:
+        """The complete copy of a file at ``target`` only; a partial one there is replaced."""
+        if whole(target, name, size):
+            folder.delete(f"{source}/{name}")
+        else:
+            folder.delete(f"{target}/{name}")
+            folder.move(f"{source}/{name}", f"{target}/{name}")
+
+    old, new = intent["old"], intent["new"]
+    forward = bool(new) and all(whole(live, n, s) or whole(staged, n, s) for n, s in new.items())
+    if not forward and not all(whole(live, n, s) or whole(backup, n, s) for n, s in old.items()):
+        raise ReplaceRefused(f"neither the old nor the new files of {live} are complete")
+    if forward:
+        for name, size in new.items():
+            bring(name, size, staged, live)
+        folder.write(f"{backup}/{DONE}", "")
+        for name in old:
+            folder.delete(f"{live}/{name}")
+    else:
+        for name, size in old.items():
+            bring(name, size, backup, live)
+        for name in new:
+            folder.delete(f"{live}/{name}")
+    folder.delete(backup)

@@ -5,20 +5,26 @@ Row order inside a run is (file time, path, row index); all three come from Spar
 
 from __future__ import annotations
 
+import io
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from odmeter.functions import columns as C
 from odmeter.plans.work import MonthTask
-from odmeter.schemas import KEY, LANDING, MONTH, PAIR, require_columns
+from odmeter.schemas import KEY, LANDING, MONTH, OD, PAIR, require_columns
 from odmeter.sources.paths import Folder, existing
 
 MONTH_NAME = re.compile(r"\d{4}-\d{2}")
 MONTH_GLOB = "[0-9][0-9][0-9][0-9]-[0-9][0-9]"
 PARQUET_ONLY = "*.parquet"
+#: A file without rows holds little more than its schema; larger ones without readable rows are damaged.
+EMPTY_FILE_BYTES = 1 << 20
 FILE_COLUMNS = [MONTH, "source_file", "file_path", "file_time", "row_index"]
 _FILE_FACTS = ["_metadata.file_path", "_metadata.file_name", "_metadata.file_size"]
 
@@ -66,9 +72,21 @@ def list_partitions(spark: SparkSession, root: str, years: list[str] | None = No
 
 
 def with_file_columns(df: DataFrame) -> DataFrame:
-    """Adds month, file name, path, time and row index of each row."""
+    """Adds month, file name, path, time and row index of each row.
+
+    A row of a file that lacks a required column raises, with the name of the file; see ``marked_schema``.
+    """
+    path = F.col("_metadata.file_path")
+
+    def present(field: StructField) -> Column:
+        mark = _MARKS.get(field.dataType.typeName())
+        if field.name not in REQUIRED or mark is None:
+            return F.col(field.name)
+        problem = F.raise_error(F.concat(F.lit(f"no column {field.name} in file "), path)).cast(field.dataType)
+        return F.when(F.col(field.name).eqNullSafe(F.lit(mark).cast(field.dataType)), problem).otherwise(F.col(field.name)).alias(field.name)
+
     return df.select(
-        *df.columns,
+        *[present(f) for f in df.schema],
         C.month_of_path(F.col("_metadata.file_path")).alias(MONTH),
         F.col("_metadata.file_name").alias("source_file"),
         F.col("_metadata.file_path").alias("file_path"),
@@ -77,14 +95,52 @@ def with_file_columns(df: DataFrame) -> DataFrame:
     )
 
 
+REQUIRED = [KEY, *PAIR]
+
+# Values no real column has: each stands for "this file has no such column" while reading.
+_MARKS = {"string": "\u0000absent", "double": -1.7976931348623157e308, "float": -3.0e38, "long": -(2**63) + 1, "integer": -(2**31) + 1}
+
+
+def marked_schema(schema: StructType) -> StructType:
+    """The schema with a mark as the default of each required column.
+
+    Spark fills the default in for files that lack the column, and leaves a NULL that a file really holds as
+    it is.  So every file that is read is checked, in the same scan, and not only the one that the schema came from.
+    """
+
+    def marked(field: StructField) -> StructField:
+        mark = _MARKS.get(field.dataType.typeName())
+        if field.name not in REQUIRED or mark is None:
+            return field
+        text = f"'{mark}'" if isinstance(mark, str) else f"CAST('{mark!r}' AS {field.dataType.simpleString()})"
+        return StructField(field.name, field.dataType, True, {**field.metadata, "CURRENT_DEFAULT": text, "EXISTS_DEFAULT": text})
+
+    return StructType([marked(f) for f in schema])
+
+
+def _parquet(spark: SparkSession, tolerant: bool) -> DataFrameReader:
+    """Reader of the Parquet files in month directories and in folders below them."""
+    reader = spark.read.option("pathGlobFilter", PARQUET_ONLY).option("recursiveFileLookup", True)
+    return reader.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True) if tolerant else reader
+
+
+def _found_schema(spark: SparkSession, paths: list[str], tolerant: bool) -> StructType:
+    """Columns of all files, from their footers, read by a job; types that don't go together raise.
+
+    A tolerant read of nothing but damaged files has the types of ``OD``.
+    """
+    try:
+        return _parquet(spark, tolerant).option("mergeSchema", True).parquet(*paths).schema
+    except AnalysisException as problem:
+        if tolerant and problem.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return OD
+        raise
+
+
 def _od_reader(spark: SparkSession, paths: list[str], schema: StructType | None, tolerant: bool) -> DataFrame:
-    reader = spark.read.option("pathGlobFilter", PARQUET_ONLY)
-    if tolerant:
-        reader = reader.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
-    if schema is not None:
-        reader = reader.schema(schema)
-    rows = reader.parquet(*paths)
-    return require_columns(rows, [KEY, *PAIR], "source files")
+    schema = schema or _found_schema(spark, paths, tolerant)
+    require_columns(spark.createDataFrame([], schema), REQUIRED, "source files")
+    return _parquet(spark, tolerant).schema(marked_schema(schema)).parquet(*paths)
 
 
 def read_od_months(
@@ -97,8 +153,9 @@ def read_od_months(
 ) -> DataFrame:
     """Source rows of the months, with file columns.
 
-    Without ``schema`` the types are those of the files (``select_od`` casts them); a missing required
-    column raises.  ``tolerant`` leaves out files that cannot be read; see ``unread_files``.
+    Without ``schema`` the types are those of the files (``select_od`` casts them); a required column that
+    any of them lacks raises.  ``tolerant`` leaves out files that cannot be read; see ``unread_files``.
+    Files in folders below a month directory belong to the month.
     """
     paths = [month_glob(root, years)] if months is None else [f"{root}/{m}" for m in months]
     return with_file_columns(_od_reader(spark, paths, schema, tolerant))
@@ -120,7 +177,8 @@ def delta_filter(tasks: list[MonthTask]) -> Column:
 
 def list_delta(spark: SparkSession, root: str, tasks: list[MonthTask]) -> DataFrame:
     """Listing of the Parquet files that the queue has to read."""
-    return list_files(spark, [f"{root}/{t.month}" for t in tasks], PARQUET_ONLY, only=delta_filter(tasks))
+    paths = [f"{root}/{t.month}" for t in tasks]
+    return list_files(spark, paths, PARQUET_ONLY, recursive=True, only=delta_filter(tasks))
 
 
 def read_delta(
@@ -135,15 +193,15 @@ def read_delta(
     return with_file_columns(rows.where(delta_filter(tasks)))
 
 
-def unread_files(spark: SparkSession, files: DataFrame, paths: list[str]) -> DataFrame:
+def unread_files(spark: SparkSession, files: DataFrame, paths: list[str], only: Column | None = None) -> DataFrame:
     """Files of a listing that a tolerant read left out, in whole or in part.
 
     A file counts as read when the tolerant scan returns as many rows of the needed columns as its footer
-    promises.  Files that have no rows come out too; ``confirm_empty`` tells them from damaged ones.
+    promises.  Files that have no rows come out too; ``empty_files`` tells them from damaged ones.  ``only`` is
+    the predicate on file metadata that the listing was made with, so that no other file is read.
     """
-    reader = spark.read.option("pathGlobFilter", PARQUET_ONLY)
-    reader = reader.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
-    rows = reader.parquet(*paths)
+    rows = _parquet(spark, tolerant=True).schema(_found_schema(spark, paths, tolerant=True)).parquet(*paths)
+    rows = rows if only is None else rows.where(only)
     promised = rows.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(F.count(F.lit(1)).alias("promised"))
     read = rows.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(
         F.count(F.lit(1)).alias("read"), F.bit_xor(F.xxhash64(KEY, *PAIR)).alias("_contents")
@@ -203,12 +261,25 @@ def list_landing(spark: SparkSession, landing: str, months: list[str]) -> DataFr
     return list_files(spark, found, PARQUET_ONLY).withColumn(MONTH, month)
 
 
-def confirm_empty(spark: SparkSession, files: DataFrame) -> bool:
-    """True when every listed file can be read strictly and has no rows."""
-    paths = [r["file_path"] for r in files.select("file_path").collect()]
-    if not paths:
-        return True
-    try:
-        return spark.read.parquet(*paths).groupBy().agg(F.count(F.lit(1)).alias("n")).first()["n"] == 0
-    except Exception:
-        return False
+def empty_files(spark: SparkSession, paths: list[str], only: Column | None = None) -> DataFrame:
+    """Paths of the files whose Parquet footer says that they have no rows, each decided by itself.
+
+    Files above ``EMPTY_FILE_BYTES`` are not opened.  Only the contents are judged here: an error of the store
+    fails the job, as in any read.
+    """
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", PARQUET_ONLY).option("recursiveFileLookup", True)
+    small = reader.load(paths).where(F.col("length") <= EMPTY_FILE_BYTES)
+    small = small if only is None else small.where(only)
+
+    def without_rows(batches):
+        for batch in batches:
+            empty = []
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                try:
+                    if pq.ParquetFile(io.BytesIO(content)).metadata.num_rows == 0:
+                        empty.append(path)
+                except (pa.ArrowInvalid, OSError):  # no Parquet
+                    continue
+            yield pa.RecordBatch.from_pydict({"file_path": pa.array(empty, pa.string())})
+
+    return small.select(F.col("_metadata.file_path").alias("file_path"), "content").mapInArrow(without_rows, "file_path string")

@@ -23,6 +23,29 @@ class Folder:
             return []
         return sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(path)))
 
+    def sizes(self, path: str) -> dict[str, int]:
+        """Names and sizes of the data files directly in a folder."""
+        if not self.exists(path):
+            return {}
+        found = [(s.getPath().getName(), s.getLen()) for s in self._fs.listStatus(self._path(path)) if s.isFile()]
+        return {name: size for name, size in sorted(found) if name[0] not in "._"}
+
+    def write(self, path: str, text: str) -> None:
+        """A small text file, replaced if it exists."""
+        out = self._fs.create(self._path(path), True)
+        out.write(bytearray(text.encode()))
+        out.close()
+
+    def set_time(self, path: str, seconds: int) -> None:
+        """Modification time of a file, where the store lets it be set."""
+        self._fs.setTimes(self._path(path), seconds * 1000, -1)
+
+    def read(self, path: str) -> str:
+        source = self._fs.open(self._path(path))
+        text = self._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+        source.close()
+        return text
+
     def move(self, source: str, target: str) -> None:
         self._fs.mkdirs(self._path(target).getParent())
         if self.exists(target) or not self._fs.rename(self._path(source), self._path(target)):

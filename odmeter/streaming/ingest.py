@@ -1,6 +1,8 @@
 """Daily pick-up of new files as a file-source stream.
 
-The stream checkpoint remembers which files were read, also late ones in older month directories.  Keys
+The stream checkpoint remembers which files were read, also late ones in older month directories.  Spark would
+pass over files that are older, by modification time, than the newest one seen less ``maxFileAge`` (a week by
+default); here that age is ``MAX_FILE_AGE``, longer than any history.  Keys
 already landed live in the landing table, not in stream state: each micro-batch is anti-joined with the
 months it touches, so state does not grow and a replayed batch adds nothing.
 """
@@ -18,15 +20,33 @@ from odmeter.context import RunContext
 from odmeter.plans.bookmark import STREAM, append_manifest
 from odmeter.plans.ingest import Enrich, IngestOptions, ingest_rows
 from odmeter.schemas import MONTH, OD
+from odmeter.session import cut_lineage
 from odmeter.sinks.landing import write_landing
-from odmeter.sources.files import PARQUET_ONLY, month_glob, read_existing_keys, with_file_columns
+from odmeter.sources.files import (
+    PARQUET_ONLY,
+    marked_schema,
+    month_glob,
+    read_existing_keys,
+    read_landing,
+    with_file_columns,
+)
+
+
+#: Files older than the newest one by more than this are passed over by the stream.
+MAX_FILE_AGE = "36500d"
 
 
 def read_od_stream(
-    spark: SparkSession, source: str, schema: StructType = OD, max_files: int | None = None
+    spark: SparkSession,
+    source: str,
+    schema: StructType = OD,
+    max_files: int | None = None,
+    max_file_age: str = MAX_FILE_AGE,
 ) -> DataFrame:
-    """New source files with file columns; ``max_files`` bounds a micro-batch."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", PARQUET_ONLY)
+    """New source files with file columns, from month directories and folders below them; ``max_files`` bounds
+    a micro-batch.  A file that lacks a required column raises."""
+    reader = spark.readStream.schema(marked_schema(schema)).option("pathGlobFilter", PARQUET_ONLY)
+    reader = reader.option("recursiveFileLookup", True).option("maxFileAge", max_file_age)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return with_file_columns(reader.parquet(month_glob(source)))
@@ -42,15 +62,18 @@ def land_batch(
 ) -> None:
     """De-duplicates a micro-batch, keeps what has not landed, appends, then commits its files."""
     spark = batch.sparkSession
-    files = batch.groupBy(MONTH, "file_path", "file_time").agg(F.count(F.lit(1)).alias("rows"))
+    # File facts come from file metadata: this scan decodes no column.
+    files = cut_lineage(batch.select(MONTH, "source_file", "file_path", "file_time").distinct())
     months = [r[MONTH] for r in files.select(MONTH).distinct().collect()]
     if not months:
         return
     existing = read_existing_keys(spark, landing, months)
     write_landing(ingest_rows(batch, existing, enrich, ctx, options), landing, options.max_records)
     if manifest:
-        commits = files.withColumns({"mode": F.lit(STREAM), "run_ts": F.lit(ctx.run_ts)})
-        append_manifest(commits, manifest)
+        landed = read_landing(spark, landing, months).where(F.col("processing_timestamp") == ctx.run_ts)
+        landed = landed.groupBy(F.concat_ws("-", "year", "month").alias(MONTH), "source_file").agg(F.count(F.lit(1)).alias("rows"))
+        commits = files.join(landed, [MONTH, "source_file"], "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+        append_manifest(commits.withColumns({"mode": F.lit(STREAM), "run_ts": F.lit(ctx.run_ts)}), manifest)
 
 
 def stream_ingest(
@@ -64,11 +87,12 @@ def stream_ingest(
     options: IngestOptions | None = None,
     schema: StructType = OD,
     max_files: int | None = None,
+    max_file_age: str = MAX_FILE_AGE,
 ) -> StreamingQuery:
     """Starts the stream over everything that is there now, then stops (``availableNow``)."""
     options = options or IngestOptions()
     return (
-        read_od_stream(spark, source, schema, max_files)
+        read_od_stream(spark, source, schema, max_files, max_file_age)
         .writeStream.foreachBatch(lambda batch, _: land_batch(batch, landing, manifest, clock(), enrich, options))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -72,9 +72,12 @@ def test_union_fills_missing_columns(spark):
 
 
 def test_month_needs_digits(spark):
-    paths = ["file:/b/2025-12/p.parquet", "file:/b/2025-ab/p.parquet", "file:/b/2025-12/deep/p.parquet"]
+    paths = [
+        "file:/b/2025-12/p.parquet", "file:/b/2025-ab/p.parquet", "file:/b/2025-12/deep/p.parquet",
+        "file:/2024-01/b/2025-12/deep/er/p.parquet",
+    ]
     got = spark.createDataFrame([(p,) for p in paths], "p string").select(C.month_of_path(F.col("p")).alias("m"))
-    assert [r["m"] for r in got.collect()] == ["2025-12", None, None]
+    assert [r["m"] for r in got.collect()] == ["2025-12", None, "2025-12", "2025-12"]
 
 
 def test_output_label(spark):

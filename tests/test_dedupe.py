@@ -85,6 +85,19 @@ def test_one_shuffle_of_new_rows_serves_keep_first_and_anti_join(spark):
     assert plan.count("Exchange hashpartitioning") == 2
 
 
+def test_raw_anti_join_shuffles_each_side_once(spark, sf):
+    from odmeter import samples
+
+    conf = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "-1")
+    try:
+        plan = plan_of(dedupe.anti_join_existing(samples.od(spark, sf), samples.landed(spark, sf)))
+    finally:
+        spark.conf.set(conf, before)
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.sampled_from(["2025-11", "2025-12"])), max_size=30))
 def test_properties(spark, keys):
@@ -117,15 +130,19 @@ def test_lookup_keeps_every_row_with_hot_cold_missing_and_unmatched_keys(spark):
     rows += [("lost", i) for i in range(6000, 9000)] + [(f"k{i}", i) for i in range(9000, 10000)]
     left = spark.createDataFrame(rows, "k string, id int").repartition(8)
     right = spark.createDataFrame([("hot", 1.0)] + [(f"k{i}", float(i)) for i in range(9000, 9500)], "k string, v double")
-    got = {r["id"]: r["v"] for r in lookup_join(left, right, ["k"], ["v"]).collect()}
+    got = {r["id"]: r["v"] for r in lookup_join(left, right, ["k"], ["v"], slice_rows=500).collect()}
     want = {i: (1.0 if k == "hot" else float(i) if k and k[0] == "k" and i < 9500 else None) for k, i in rows}
     assert got == want
 
 
 def test_hot_keys_are_few_and_split_by_share(spark):
     left = spark.range(10_000).selectExpr("CASE WHEN id % 3 = 0 THEN -1 ELSE id END AS k")
-    hot = hot_keys(key_counts(left, ["k"]), ["k"], slices=16).collect()
+    hot = hot_keys(key_counts(left, ["k"]), ["k"], slices=16, slice_rows=1).collect()
     assert [(r["k"], r["_salts"]) for r in hot] == [(-1, 6)]
+    # The slice is a number of rows while that is more than the share.
+    sliced = hot_keys(key_counts(left, ["k"]), ["k"], slices=1000, slice_rows=1000).collect()
+    assert [(r["k"], r["_salts"]) for r in sliced] == [(-1, 4)]
+    assert hot_keys(key_counts(left, ["k"]), ["k"]).count() == 0
 
 
 def test_hot_and_missing_keys_spread_over_tasks(spark):
@@ -141,7 +158,7 @@ def test_hot_and_missing_keys_spread_over_tasks(spark):
     for name, value in conf.items():
         spark.conf.set(name, value)
     try:
-        joined = lookup_join(left, right, ["k"], ["v"], spread_by=["id"])
+        joined = lookup_join(left, right, ["k"], ["v"], spread_by=["id"], slice_rows=500)
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
     finally:
         for name, value in before.items():

@@ -66,6 +66,25 @@ def test_missing_source_column_raises(spark, source):
         files.read_od_months(spark, source, ["2025-02"])
 
 
+@pytest.mark.parametrize("short", ["a.parquet", "z.parquet"])
+def test_column_that_one_of_several_files_lacks_raises_with_its_name(spark, source, short):
+    write_file(spark, source, "2025-02", short, ["x"], columns=PAIR[:3])
+    write_file(spark, source, "2025-02", "m.parquet", ["y"])
+    with pytest.raises(Exception, match=f"{PAIR[3]} in file .*{short}"):
+        files.read_od_months(spark, source, ["2025-02"]).collect()
+    with pytest.raises(Exception, match=f"{PAIR[3]} in file .*{short}"):
+        files.read_od_months(spark, source, ["2025-02"], schema=OD).collect()
+
+
+def test_files_below_a_month_directory_belong_to_it(spark, source):
+    write_file(spark, source, "2025-01/deep/er", "c.parquet", ["r"], 250)
+    assert values(files.read_od_months(spark, source, ["2025-01"]), KEY, MONTH) == [
+        ("p", "2025-01"), ("p", "2025-01"), ("q", "2025-01"), ("r", "2025-01"),
+    ]
+    task = MonthTask("2025-01", CURRENT, 200_000_000)
+    assert values(files.list_delta(spark, source, [task]), "file_name") == [("b.parquet",), ("c.parquet",)]
+
+
 def test_delta_skips_whole_files_and_is_strict(spark, source):
     def names(task):
         return values(files.read_delta(spark, source, [task]).select("source_file").distinct())
@@ -95,7 +114,7 @@ def test_tolerant_read_names_what_it_left_out(spark, source):
     assert rows.count() == 3
     unread = files.unread_files(spark, files.list_files(spark, good, files.PARQUET_ONLY), [good])
     assert values(unread, "file_name") == [("broken.parquet",)]
-    assert not files.confirm_empty(spark, unread)
+    assert files.empty_files(spark, [good]).count() == 0
 
 
 def test_damaged_page_behind_a_good_footer_counts_as_unread(spark, source):
@@ -112,8 +131,13 @@ def test_damaged_page_behind_a_good_footer_counts_as_unread(spark, source):
 def test_empty_file_is_not_damaged(spark, source):
     write_file(spark, source, "2025-01", "empty.parquet", [])
     listing = files.list_files(spark, files.month_glob(source), files.PARQUET_ONLY)
+    with open(f"{source}/2024-12/broken.parquet", "wb") as out:
+        out.write(b"PAR1 this is no parquet PAR1")
+    listing = files.list_files(spark, files.month_glob(source), files.PARQUET_ONLY)
     unread = files.unread_files(spark, listing, [files.month_glob(source)])
-    assert values(unread, "file_name") == [("empty.parquet",)] and files.confirm_empty(spark, unread)
+    empty = files.empty_files(spark, [files.month_glob(source)])
+    assert values(unread, "file_name") == [("broken.parquet",), ("empty.parquet",)]
+    assert values(unread.join(empty, "file_path", "left_anti"), "file_name") == [("broken.parquet",)]
 
 
 def landing_frame(spark, *rows):

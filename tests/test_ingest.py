@@ -163,6 +163,102 @@ def test_checkpoint_stops_at_the_first_bad_file(store):
     assert again.rows == 1 and again.held_back == [] and ("2025", "12", "k6") in store.landed()
 
 
+def test_empty_file_of_another_month_is_not_held_back(store):
+    store.put("2025-11", "empty.parquet", [], DEC_1 - 3 * DAY)
+    with open(f"{store.source}/2025-12/bad.parquet", "wb") as out:
+        out.write(b"PAR1 no parquet PAR1")
+    os.utime(f"{store.source}/2025-12/bad.parquet", (DEC_1 + DAY, DEC_1 + DAY))
+    report = store.run("2025-12-03", tolerant=True)
+    assert report.held_back == ["2025-12"] == report.partly and report.committed == ["2025-11"]
+    assert store.state() == {"2025-11": (True, False), "2025-12": (False, True)}
+
+
+def test_tolerant_run_looks_at_new_files_only(store, monkeypatch):
+    store.run("2025-12-01")
+    store.put("2025-12", "c.parquet", ["k7"], DEC_1 + 2 * DAY)
+    seen = []
+    real = ingest.unread_files
+    monkeypatch.setattr(ingest, "unread_files", lambda spark, delta, paths, only: seen.append(paths) or real(spark, delta, paths, only))
+    assert store.run("2025-12-03", tolerant=True).rows == 1
+    assert seen == [[f"{store.source}/2025-12"]]
+
+
+@pytest.mark.parametrize("month", ["2025-11", "2025-12"])
+def test_column_drift_in_any_month_stops_the_run_before_anything_is_written(store, month):
+    from odmeter.schemas import PAIR
+    from test_files import write_file
+
+    write_file(store.spark, store.source, month, "drift.parquet", ["k9"], DEC_1, columns=PAIR[:3])
+    with pytest.raises(Exception, match="drift.parquet"):
+        store.run("2025-12-01")
+    assert store.landed() == [] and store.state() == {}
+
+
+def test_run_that_is_cut_off_goes_on_after_its_last_step(store, monkeypatch):
+    real, steps = ingest.write_landing, []
+
+    def second_fails(*args):
+        steps.append(1)
+        if len(steps) == 2:
+            raise OSError("disk")
+        real(*args)
+
+    monkeypatch.setattr(ingest, "write_landing", second_fails)
+    with pytest.raises(OSError):
+        store.run("2025-12-01", commit_bytes=1)
+    monkeypatch.undo()
+    assert store.state() == {"2025-11": (True, False)}
+    report = store.run("2025-12-01", commit_bytes=1)
+    assert report.months == ["2025-12"] and store.landed() == sorted(NOV + DEC, key=repr)
+
+
+def test_provider_is_not_asked_on_a_replay(store, tmp_path):
+    log = str(tmp_path / "asked")
+
+    def connect():
+        def route(*pair):
+            with open(log, "a") as out:
+                out.write("x\n")
+            return 1.0, 1.0
+
+        return route
+
+    by = ingest.by_provider(connect, callers=1)
+    store.run("2025-12-01", enrich=by)
+    asked = len(open(log).readlines())
+    os.rename(store.manifest, f"{store.manifest}-lost")
+    assert store.run("2025-12-02", enrich=by).rows == 0
+    assert len(open(log).readlines()) == asked == 1
+
+
+def test_answers_are_kept_for_the_next_run(spark, tmp_path):
+    from odmeter.operators import enrich
+    from odmeter.schemas import PAIR
+
+    log, answers = str(tmp_path / "asked"), str(tmp_path / "answers")
+    pairs = spark.createDataFrame([(float(k), 1.0, 2.0, 3.0) for k in range(12)], ", ".join(f"{c} double" for c in PAIR))
+
+    def connect(good):
+        def start():
+            def route(*pair):
+                with open(log, "a") as out:
+                    out.write(f"{pair[0]}\n")
+                if pair[0] not in good:
+                    raise MemoryError("stop") if pair[0] == 99.0 else RuntimeError("busy")
+                return pair[0], 1.0
+
+            return route
+
+        return start
+
+    first = enrich.ask_routes(pairs.where("poc_longitude < 8"), connect(set(range(7))), 2, 2, 1, answers, 3)
+    assert {(r[0], r["route_match"]) for r in first.collect()} == {(float(k), "exact") for k in range(7)} | {(7.0, "retries_exhausted")}
+    second = enrich.ask_routes(pairs, connect(set(range(12))), 2, 2, 1, answers, 3)
+    assert set(values(second, PAIR[0], "distance")) == {(float(k), float(k)) for k in range(12)}
+    asked = [float(x) for x in open(log)]
+    assert sorted(asked) == sorted([float(k) for k in range(12)] + [7.0])
+
+
 def test_strict_run_fails_on_a_bad_file(store):
     with open(f"{store.source}/2025-12/bad.parquet", "wb") as out:
         out.write(b"PAR1 no parquet PAR1")
@@ -215,6 +311,16 @@ def test_stream_lands_what_the_batch_lands(store, spark, tmp_path):
     assert other.landed() == store.landed()
 
 
+def test_stream_reads_files_that_are_much_older_and_files_in_sub_folders(store, spark):
+    store.stream("2025-12-01")
+    store.put("2025-10", "aged.parquet", ["o1"], DEC_1 - 400 * DAY)
+    store.put("2025-11/more", "deep.parquet", ["o2"], DEC_1 - 300 * DAY)
+    store.stream("2025-12-02")
+    assert store.landed() == sorted(NOV + DEC + [("2025", "10", "o1"), ("2025", "11", "o2")], key=repr)
+    rows = bookmark.read_manifest(spark, store.manifest)
+    assert values(rows.where("partition_month = '2025-11'"), "rows") == [(1,), (1,), (2,)]
+
+
 def test_stream_restart_picks_up_only_new_files_also_late_ones(store):
     store.stream("2025-12-01")
     store.put("2025-11", "late.parquet", ["k3", "k5"], DEC_1 + DAY)

@@ -31,6 +31,7 @@ def test_month_is_unique_after_dedupe_and_other_months_are_untouched(spark, land
     november = parquet_names(landing, "11")
     (change,) = maintain.dedupe_months(spark, landing, DEC)
     assert (change.rows_before, change.rows_after, change.rewritten) == (4, 3, True)
+    assert (change.files_before, change.files_after) == (2, 1) and 0 < change.bytes_after < change.bytes_before
     rows = files.read_landing(spark, landing, DEC)
     assert values(rows, KEY, "ingestion_date") == [("a", "2025-12-01"), ("b", "2025-12-01"), ("c", "2025-12-01")]
     assert parquet_names(landing, "11") == november
@@ -111,7 +112,7 @@ def test_file_that_arrives_meanwhile_is_not_lost(spark, landing):
     assert files.read_landing(spark, landing, DEC).where("order_number = 'late'").count() == 1
 
 
-@pytest.mark.parametrize("moves", [0, 1, 2])
+@pytest.mark.parametrize("moves", [0, 1, 2, 3])
 def test_crash_at_any_point_of_the_swap_is_repaired(spark, landing, monkeypatch, moves):
     before = staged(spark, landing)
     done = []
@@ -124,14 +125,14 @@ def test_crash_at_any_point_of_the_swap_is_repaired(spark, landing, monkeypatch,
         real(self, source, target)
 
     monkeypatch.setattr(swap.Folder, "move", cut_off)
-    if moves == 2:
+    if moves == 3:
         monkeypatch.setattr(swap.Folder, "delete", lambda self, path: (_ for _ in ()).throw(KeyboardInterrupt()))
     with pytest.raises(KeyboardInterrupt):
         swap.swap_months(spark, landing, {"2025-12": 4}, before)
     monkeypatch.undo()
     swap.repair(spark, landing)
     assert files.read_landing(spark, landing, DEC).count() == 4
-    assert not os.path.exists(swap.staging_root(landing))
+    assert not os.path.exists(swap.staging_root(landing)) and not os.path.exists(f"{landing}__replaced")
     maintain.dedupe_months(spark, landing, DEC)
     assert files.read_landing(spark, landing, DEC).count() == 3
 
@@ -144,6 +145,87 @@ def test_backup_without_staged_month_goes_back(spark, landing):
     assert files.read_landing(spark, landing, DEC).count() == 4
 
 
+def keys(spark, landing):
+    return values(files.read_landing(spark, landing, DEC), KEY)
+
+
+def half(path):
+    """A copy that was cut off: the first half of a file."""
+    data = open(path, "rb").read()
+    with open(path, "wb") as out:
+        out.write(data[: len(data) // 2])
+
+
+@pytest.mark.parametrize("torn", ["old", "new"])
+@pytest.mark.parametrize("moves", [0, 1, 2])
+def test_move_that_left_a_partial_copy_is_repaired(spark, landing, monkeypatch, moves, torn):
+    """A store whose move is copy and delete, cut off inside the copy: both names exist, one of them partial."""
+    import shutil
+
+    before = staged(spark, landing)
+    want = keys(spark, landing)
+    done = []
+    real = swap.Folder.move
+
+    def cut_off(self, source, target):
+        if len(done) == moves:
+            os.makedirs(os.path.dirname(target), exist_ok=True)
+            shutil.copy(source, target)
+            half(target)
+            raise KeyboardInterrupt
+        done.append(source)
+        real(self, source, target)
+
+    monkeypatch.setattr(swap.Folder, "move", cut_off)
+    with pytest.raises(KeyboardInterrupt):
+        swap.swap_months(spark, landing, {"2025-12": 4}, before)
+    monkeypatch.undo()
+    if torn == "new":  # and what was staged is gone: only the old files are complete
+        swap.Folder(spark, landing).delete(swap.staging_root(landing))
+    swap.repair(spark, landing)
+    assert keys(spark, landing) == want
+    assert not os.path.exists(f"{landing}__replaced")
+
+
+def test_nothing_is_deleted_where_no_side_is_complete(spark, landing, monkeypatch):
+    before = staged(spark, landing)
+    real, done = swap.Folder.move, []
+
+    def cut_off(self, source, target):
+        if done:
+            raise KeyboardInterrupt
+        done.append(target)
+        real(self, source, target)
+
+    monkeypatch.setattr(swap.Folder, "move", cut_off)
+    with pytest.raises(KeyboardInterrupt):
+        swap.swap_months(spark, landing, {"2025-12": 4}, before)
+    monkeypatch.undo()
+    half(done[0])
+    swap.Folder(spark, landing).delete(swap.staging_root(landing))
+    with pytest.raises(swap.ReplaceRefused, match="neither"):
+        swap.repair(spark, landing)
+    assert os.path.exists(done[0])
+
+
+@pytest.mark.parametrize("when", [0, 1, 2])
+def test_file_that_arrives_during_the_swap_stays(spark, landing, monkeypatch, when):
+    before = staged(spark, landing)
+    want = sorted(keys(spark, landing) + [("late",)])
+    real, done = swap.Folder.move, []
+
+    def slow(self, source, target):
+        if len(done) == when:
+            write_landing(landing_frame(spark, row("late")), landing)
+        done.append(source)
+        real(self, source, target)
+
+    monkeypatch.setattr(swap.Folder, "move", slow)
+    swap.swap_months(spark, landing, {"2025-12": 4}, before)
+    monkeypatch.undo()
+    assert keys(spark, landing) == want and swap.repair(spark, landing) == []
+
+
 @pytest.fixture
 def drifted(spark, tmp_path):
     path = str(tmp_path / "landing")
@@ -158,14 +240,18 @@ def test_backfill_fills_only_files_without_the_column(spark, drifted):
     november = parquet_names(drifted, "11")
     status = maintain.backfill_status(spark, drifted, ["2025-11", "2025-12"])
     assert values(status, "status") == [("skipped",), ("skipped",), ("success",)]
+    complete = {n for n in parquet_names(drifted)} & {
+        os.path.basename(r["file_path"]) for r in status.where("status = 'skipped'").collect()
+    }
     counts = maintain.backfill_column(spark, drifted, ["2025-11", "2025-12"], "2024-12-31")
     assert counts == {"success": 1, "skipped": 2}
+    assert len(complete) == 1 and complete < set(parquet_names(drifted))  # keeps its name
     rows = files.read_landing(spark, drifted)
     assert values(rows, KEY, "ingestion_date") == [
         ("done", "2025-12-01"), ("hole", None), ("new", "2025-12-01"), ("old", "2024-12-31"),
     ]
     assert parquet_names(drifted, "11") == november
-    assert maintain.backfill_column(spark, drifted, DEC, "2099-01-01") == {"skipped": 1}
+    assert maintain.backfill_column(spark, drifted, DEC, "2099-01-01") == {"skipped": 2}
 
 
 def test_backfill_dry_run(spark, drifted):

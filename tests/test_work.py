@@ -97,7 +97,7 @@ def test_document_round_trip(spark, tmp_path):
     old = {
         "completed_partitions": ["2025-09", "2025-10"],
         "delta_timestamps": {"2025-11": "2025-11-30T04:15:00+00:00"},
-        "last_updated": "2025-12-01T16:46:05.049404+00:00",
+        "last_updated": "2025-12-01T09:30:00.250000+00:00",
     }
     path.write_text(json.dumps(old, indent=2))
     manifest = str(tmp_path / "manifest")
