@@ -74,7 +74,7 @@ def dart_signatures(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, te
         low = np.where(region == 0, 0.0, 2.0 ** (region - 1))
         width = np.where(region == 0, 1.0, low)
         seed = mix64(e, 7) + mix64(region.astype(np.uint64), 8)
-        rank, most = np.zeros(len(of)), factor * k * (math.log(k) + 3) / norm
+        rank, most = np.zeros(len(of)), factor * k * (math.log(k) + 3) / np.maximum(norm, 1)
         cells, ranks, names = [], [], []
         dart = 0
         while len(of):
@@ -132,7 +132,7 @@ def _payload(batches):
 
 
 def link_group(keys: list[bytes], signatures: np.ndarray, members: list[np.ndarray], similarity: float = SIMILARITY, likely: float = LIKELY, side=None):
-    """Links of a forest over a group of texts; with ``side`` only pairs across or, in one block, all pairs are compared."""
+    """Links of a forest over a group of texts; with ``side`` only pairs of different sides are compared."""
     n = len(keys)
     sizes = np.array([len(m) for m in members])
     forest, links = Forest(n), []
@@ -161,7 +161,7 @@ def link_group(keys: list[bytes], signatures: np.ndarray, members: list[np.ndarr
 def _links(batches):
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
     for table, bounds in whole_groups(batches, "g"):
-        key, signature, member, side = (table.column(c) for c in ("key", "signature", "members", "side"))
+        key, signature, member, side, across = (table.column(c) for c in ("key", "signature", "members", "side", "across"))
         for first, last in zip(bounds[:-1], bounds[1:]):
             if last - first < 2:
                 continue
@@ -172,11 +172,12 @@ def _links(batches):
                 continue
             at = list(rows.values())
             sides = np.array([side[r].as_py() for r in at])
+            first = int(first)
             links = link_group(
                 list(rows),
                 np.stack([np.frombuffer(signature[r].as_py(), np.uint8) for r in at]),
                 [np.frombuffer(member[r].as_py(), np.uint32) for r in at],
-                side=sides if sides.min() != sides.max() else None,
+                side=sides if across[first].as_py() else None,
             )
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.binary()) for k in (0, 1)], schema=schema)
@@ -207,8 +208,8 @@ def near_copy_classes(docs: DataFrame) -> DataFrame:
     own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
     dealt = hits.withColumn("side", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     group = F.xxhash64("bucket", F.least("side", "other"), F.greatest("side", "other"))
-    dealt = payload.join(dealt.select("key", "side", group.alias("g")), "key")
-    links = dealt.select("g", "key", "side", "signature", "members").repartition("g").sortWithinPartitions("g").mapInArrow(_links, "a binary, b binary")
+    dealt = payload.join(dealt.select("key", "side", (F.col("side") != F.col("other")).alias("across"), group.alias("g")), "key")
+    links = dealt.select("g", "key", "side", "across", "signature", "members").repartition("g").sortWithinPartitions("g").mapInArrow(_links, "a binary, b binary")
 
     components = connected_components(links)
     placed = nodes.join(components, nodes["key"] == components["node"], "left").select(
@@ -228,11 +229,13 @@ def near_copy_classes(docs: DataFrame) -> DataFrame:
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each class: that of the smallest doc_id, once where its row repeats."""
     classes = near_copy_classes(docs).where(F.col("doc_id").eqNullSafe(F.col("cluster_id")))
-    names = {c: f"_kept_{c}" for c in ("doc_id", "key")}
-    kept = classes.select(*(F.col(c).alias(n) for c, n in names.items())).distinct()
-    key = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_doc_id")) & (key == F.col("_kept_key")))
-    return rows.dropDuplicates(["_kept_doc_id", "_kept_key"]).select([F.col(f"`{c}`") for c in docs.columns])
+    kept = classes.select(F.col("doc_id").alias("kept_id"), F.col("key").alias("kept_key")).distinct()
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "doc_id",
+        F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("key"),
+    )
+    rows = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("key") == F.col("kept_key")))
+    return rows.dropDuplicates(["kept_id", "kept_key"]).select([F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op4_near_copies(spark, sf_dir: str) -> DataFrame:

@@ -66,6 +66,7 @@ def _compare(cosine: float):
             columns = {c: table.column(c) for c in table.column_names}
             out: tuple[list, list, list] = ([], [], [])
             copies, sides, turns = (columns[c].to_numpy() for c in ("copies", "side", "turn"))
+            across = columns["across"].to_pylist()
             units = columns["unit"].to_pylist()
             coded = np.asarray(columns["codes"].combine_chunks().flatten().to_numpy(zero_copy_only=False)).reshape(len(units), TABLES)
             for first, last in zip(bounds[:-1], bounds[1:]):
@@ -74,9 +75,8 @@ def _compare(cosine: float):
                 n, turn = last - first, int(turns[first])
                 x = np.stack([np.frombuffer(u, np.float64) for u in units[first:last]])
                 side, code, count = sides[first:last], coded[first:last], copies[first:last]
-                across = side.min() != side.max()
                 near = np.triu(x @ x.T >= cosine, 1)
-                if across:
+                if across[first]:
                     near &= side[:, None] != side[None, :]
                 i, j = np.nonzero(near)
                 if turn:
@@ -127,8 +127,8 @@ def near_vector_components(vectors: DataFrame, cosine: float = COSINE, block: in
     hits = hits.withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     hits = hits.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     group = F.xxhash64("bucket", F.least("side", "other"), F.greatest("side", "other"))
-    dealt = coded.join(hits.select("node", "turn", "side", group.alias("g")), "node")
-    dealt = dealt.select("g", "node", "turn", "side", "copies", "unit", "codes").repartition("g").sortWithinPartitions("g")
+    dealt = coded.join(hits.select("node", "turn", "side", (F.col("side") != F.col("other")).alias("across"), group.alias("g")), "node")
+    dealt = dealt.select("g", "node", "turn", "side", "across", "copies", "unit", "codes").repartition("g").sortWithinPartitions("g")
     found = cut_lineage(dealt.mapInArrow(_compare(cosine), "node binary, links bigint, other binary"))
 
     links = found.groupBy("node").agg(F.sum("links").alias("links"))

@@ -27,7 +27,7 @@ from odmeter.session import ship_package
 
 WINDOW, STRIDE = 96, 48
 TRAINING_WINDOWS = 1500
-EPOCHS = 6
+UPDATES = 150
 RUN = 1024  # windows tagged at once
 
 Span = tuple[str, int, int]
@@ -180,7 +180,7 @@ def training_windows(text: str) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def train(docs: DataFrame, rows: int = TRAINING_WINDOWS, epochs: int = EPOCHS) -> Tagger:
+def train(docs: DataFrame, rows: int = TRAINING_WINDOWS, updates: int = UPDATES) -> Tagger:
     """A tagger fitted on at most ``rows`` windows (four of a text at most), picked by a hash of the text."""
     ship_package(docs.sparkSession)
     ranked = docs.where(F.col("text").rlike("[0-9@]")).select(F.xxhash64("text").alias("rank"), "text")
@@ -200,7 +200,7 @@ def train(docs: DataFrame, rows: int = TRAINING_WINDOWS, epochs: int = EPOCHS) -
     tagger = Tagger()
     if made:
         codes, tags = (np.stack([np.frombuffer(r[c], np.uint8) for r in made]).astype(np.int64) for c in ("codes", "tags"))
-        tagger.fit(codes, tags, epochs)
+        tagger.fit(codes, tags, updates)
     return tagger
 
 

@@ -129,12 +129,14 @@ class Tagger:
         self._lstm_back("b", kept_b, d_both[::-1, :, self.hidden :], out)
         return float(value.mean()), out
 
-    def fit(self, codes: np.ndarray, tags: np.ndarray, epochs: int = 6, batch: int = 64, rate: float = 0.01, seed: int = 3) -> list[float]:
-        """Adam over shuffled batches; the mean loss of each epoch."""
+    def fit(self, codes: np.ndarray, tags: np.ndarray, updates: int = 150, batch: int = 64, rate: float = 0.01, seed: int = 3) -> list[float]:
+        """Adam over shuffled batches, so many whatever the number of windows; the mean loss of each round."""
         draw, moments, step, losses = np.random.default_rng(seed), {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.p.items()}, 0, []
-        for epoch in range(epochs):
+        while step < updates:
             order, seen = draw.permutation(len(codes)), []
             for at in range(0, len(order), batch):
+                if step == updates:
+                    break
                 value, grads = self.loss(codes[order[at : at + batch]], tags[order[at : at + batch]])
                 seen.append(value)
                 step += 1
@@ -144,9 +146,9 @@ class Tagger:
                     g = g * min(1.0, 5.0 / (size + 1e-12))
                     m[:] = 0.9 * m + 0.1 * g
                     v[:] = 0.999 * v + 0.001 * g * g
-                    now = rate * (0.5 if epoch >= epochs * 2 / 3 else 1.0)
+                    now = rate * (0.5 if step > updates * 2 / 3 else 1.0)
                     self.p[k] -= now * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-            losses.append(float(np.mean(seen)) if seen else 0.0)
+            losses.append(float(np.mean(seen)))
         return losses
 
     def decode(self, codes: np.ndarray) -> np.ndarray:
