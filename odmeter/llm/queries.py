@@ -20,6 +20,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_cross_entropy_difference": lm_scoring.ORACLE,
     "op5_near_vectors": near_vectors.ORACLE,
     "op6_host_rules": host_rules.ORACLE,
     "op9_mix_sources": mixing.ORACLE,
