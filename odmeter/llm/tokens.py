@@ -53,16 +53,18 @@ class Encoder:
 
     def _stem(self, word: str) -> array:
         low = word.lower()
-        if "<" in word or not _LATIN.fullmatch(low):
-            return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids)
-        ids = self.stems.get(low)
+        latin = "<" not in word and _LATIN.fullmatch(low)
+        key = low if latin else word
+        ids = self.stems.get(key)
         if ids is None:
-            spell = low
-            if not low.isascii():
-                spell = "".join(self.spelled.get(c) or self._spell(c) for c in low)
             if len(self.stems) >= KEEP_STEMS:
                 self.stems = {}
-            ids = self.stems[low] = array("I", [t.id for t in self.tokenizer.model.tokenize(spell)])
+            if latin:
+                spell = low if low.isascii() else "".join(self.spelled.get(c) or self._spell(c) for c in low)
+                found = [t.id for t in self.tokenizer.model.tokenize(spell)]
+            else:
+                found = self.tokenizer.encode(word, add_special_tokens=False).ids
+            ids = self.stems[key] = array("I", found)
         return ids
 
     def _spell(self, char: str) -> str:
