@@ -2,7 +2,7 @@
 
 The tokenizer splits texts at white space and treats each word alone, so a text's ids are its words' ids one after
 another.  Each Python worker keeps the ids of words it has seen (``KEEP`` spellings and ``KEEP_STEMS`` bare
-words at most, then it starts anew), and a text is put together from these with array operations.  Words with a special token's string in them, or any
+words at most, then it starts anew), and a text is put together from these.  Words with a special token's string in them, or any
 that the shortcuts don't cover, go through ``encode`` whole.
 """
 
@@ -12,7 +12,6 @@ import os
 import re
 import zlib
 from array import array
-from itertools import repeat
 
 import numpy as np
 
@@ -22,6 +21,7 @@ VOCABULARY = 49_408
 #: ASCII characters after a word that the tokenizer always cuts off from a letter before them
 AFTER = ".,;:!?$%&*#|"
 _LATIN = re.compile("[a-zß-öø-ɏ]+")
+_LETTERS = frozenset(c for c in map(chr, range(0x250)) if _LATIN.fullmatch(c.lower()))
 
 
 def tokenizer_path() -> str:
@@ -31,6 +31,19 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class _Words(dict):
+    """Ids, as bytes of unsigned 32-bit integers, of words as they stand in texts; made when they are first asked for."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= KEEP:
+            self.clear()
+        ids = self[word] = self.make(word)
+        return ids
+
+
 class Encoder:
     """Ids of texts; ``path`` is a tokenizer whose words are independent of each other."""
 
@@ -41,87 +54,41 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path or tokenizer_path())
         self.level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.spelled: dict[str, str] = {}
-        self.stems: dict[str, array] = {}
-        self._forget()
-
-    def _forget(self) -> None:
-        self.codes: dict[str, int] = {}
-        self.pool = np.zeros(1 << 16, np.uint32)
-        self.starts = np.zeros(1 << 16, np.int32)
-        self.lengths = np.zeros(1 << 16, np.int32)
-        self.used = 0
+        self.stems: dict[str, bytes] = {}
+        self.words = _Words(self._word)
 
-    def _stem(self, word: str) -> array:
+    def _stem(self, word: str) -> bytes:
         low = word.lower()
         latin = "<" not in word and _LATIN.fullmatch(low)
         key = low if latin else word
         ids = self.stems.get(key)
         if ids is None:
             if len(self.stems) >= KEEP_STEMS:
-                self.stems = {}
+                self.stems.clear()
             if latin:
                 spell = low if low.isascii() else "".join(self.spelled.get(c) or self._spell(c) for c in low)
                 found = [t.id for t in self.tokenizer.model.tokenize(spell)]
             else:
                 found = self.tokenizer.encode(word, add_special_tokens=False).ids
-            ids = self.stems[key] = array("I", found)
+            ids = self.stems[key] = array("I", found).tobytes()
         return ids
 
     def _spell(self, char: str) -> str:
         self.spelled[char] = "".join(piece for piece, _ in self.level.pre_tokenize_str(char))
         return self.spelled[char]
 
-    def _word(self, word: str) -> array:
+    def _word(self, word: str) -> bytes:
         stem = word.rstrip(AFTER)
-        if stem == word or not stem or not _LATIN.fullmatch(stem[-1].lower()):
+        if stem == word or not stem or stem[-1] not in _LETTERS:
             return self._stem(word)
         return self._stem(stem) + self._stem(word[len(stem):])
 
-    def _learn(self, words: list[str]) -> None:
-        """Puts the ids of new words into the pool."""
-        found = [self._word(w) for w in words]
-        ids = array("I")
-        for each in found:
-            ids.extend(each)
-        sizes = np.fromiter(map(len, found), np.int32, len(found))
-        first, last = len(self.codes), len(self.codes) + len(found)
-        for name, need in (("pool", self.used + len(ids)), ("starts", last), ("lengths", last)):
-            held = getattr(self, name)
-            if need > len(held):
-                setattr(self, name, np.concatenate([held, np.zeros(max(need, len(held)), held.dtype)]))
-        self.pool[self.used : self.used + len(ids)] = np.frombuffer(ids, np.uint32) if ids else 0
-        self.starts[first:last] = self.used + np.cumsum(sizes) - sizes
-        self.lengths[first:last] = sizes
-        self.codes.update(zip(words, range(first, last)))
-        self.used += len(ids)
-
-    def _codes(self, words: list[str]) -> np.ndarray:
-        at = np.fromiter(map(self.codes.get, words, repeat(-1)), np.int32, len(words))
-        if len(at) and at.min() < 0:
-            new = list({words[i] for i in np.flatnonzero(at < 0)})
-            if len(self.codes) + len(new) > KEEP:
-                self._forget()
-                new = list(set(words))
-            self._learn(new)
-            at = np.fromiter(map(self.codes.__getitem__, words), np.int32, len(words))
-        return at
-
     def encode(self, text: str | None) -> np.ndarray:
         """All ids of a text as uint32; none for NULL."""
         if not text:
             return np.zeros(0, np.uint32)
         words = text.replace("\n", " ").split(" ")
-        step = max(1, KEEP // 2)
-        parts = [self._ids(words[i : i + step]) for i in range(0, len(words), step)]
-        return parts[0] if len(parts) == 1 else np.concatenate(parts)
-
-    def _ids(self, words: list[str]) -> np.ndarray:
-        at = self._codes(words)
-        sizes = self.lengths[at]
-        ends = np.cumsum(sizes, dtype=np.int32)
-        shift = self.starts[at]
-        shift[1:] -= ends[:-1]
-        return self.pool[np.repeat(shift, sizes) + np.arange(ends[-1], dtype=np.int32)]
+        return np.frombuffer(b"".join(map(self.words.__getitem__, words)), np.uint32)
 
 
 _ENCODERS: dict[str, Encoder] = {}
