@@ -67,8 +67,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """``node`` and ``component`` (its smallest node) of every node of ``edges`` (columns a and b, no NULL).
 
     Large and small stars in turn (each node's larger neighbours move to its smallest one, then its smaller
-    ones) until the edges are stars.  Minima are combined before the shuffle; every round is written, so lost
-    executors cost one round at most.
+    ones) until the edges are stars.  Minima are combined before the shuffle and written before they are joined, so that
+    both sides of a join are plain shuffles and adaptive execution can split the edges of a hub; every round is
+    written, so lost executors cost one round at most.
     """
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
     edges, seen = cut_lineage(edges), None
@@ -78,10 +79,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
             break
         seen = now
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        least = cut_lineage(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")))
         large = both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = cut_lineage(large.distinct())
+        least = cut_lineage(large.groupBy("a").agg(F.min("b").alias("m")))
         small = large.join(least, "a").select(F.explode(F.array(
             F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b"))
         )).alias("e")).select("e.a", "e.b")

@@ -24,7 +24,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from odmeter.llm.groups import Forest, connected_components, whole_groups
@@ -215,7 +215,8 @@ def near_copy_classes(docs: DataFrame) -> DataFrame:
     placed = nodes.join(components, nodes["key"] == components["node"], "left").select(
         "key", "first_id", "copies", "n", F.coalesce("component", "key").alias("component")
     )
-    classes = placed.where("n > 0").groupBy("component").agg(F.min("first_id").alias("cluster_id"), F.sum("copies").alias("cluster_rows"))
+    placed = cut_lineage(placed)
+    classes = cut_lineage(placed.where("n > 0").groupBy("component").agg(F.min("first_id").alias("cluster_id"), F.sum("copies").alias("cluster_rows")))
     placed = placed.where("n > 0").join(classes, "component").select(F.col("key").alias("_key"), "cluster_id", "cluster_rows")
     rows = sketches.select("doc_id", "key").join(placed, F.col("key") == F.col("_key"), "left")
     alone = F.col("_key").isNull()
@@ -229,13 +230,15 @@ def near_copy_classes(docs: DataFrame) -> DataFrame:
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each class: that of the smallest doc_id, once where its row repeats."""
     classes = near_copy_classes(docs).where(F.col("doc_id").eqNullSafe(F.col("cluster_id")))
-    kept = classes.select(F.col("doc_id").alias("kept_id"), F.col("key").alias("kept_key")).distinct()
-    rows = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "doc_id",
-        F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("key"),
-    )
-    rows = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("key") == F.col("kept_key")))
-    return rows.dropDuplicates(["kept_id", "kept_key"]).select([F.col("row")[c].alias(c) for c in docs.columns])
+    # One column tells a row by doc_id and text, so that the join and the removal of repeated rows share a shuffle.
+    def identity(key: Column) -> Column:
+        return F.unhex(F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.hex(key))))
+
+    kept = classes.select(identity(F.col("key")).alias("identity")).distinct()
+    key = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), identity(key).alias("identity"))
+    rows = rows.join(kept, "identity").dropDuplicates(["identity"])
+    return rows.select([F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op4_near_copies(spark, sf_dir: str) -> DataFrame:
