@@ -135,7 +135,8 @@ def near_vector_components(vectors: DataFrame, cosine: float = COSINE, block: in
     components = connected_components(found.where(F.col("other").isNotNull()).select(F.col("node").alias("a"), F.col("other").alias("b")))
     placed = nodes.select("node", "copies", "first_id").join(components, "node", "left").join(links, "node", "left")
     placed = placed.withColumn("component", F.coalesce("component", "node"))
-    names = placed.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    placed = cut_lineage(placed)
+    names = cut_lineage(placed.groupBy("component").agg(F.min("first_id").alias("component_id")))
     placed = placed.join(names, "component").select(
         F.col("node").alias("_node"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("_links"), "component_id"
     )
