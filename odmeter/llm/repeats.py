@@ -263,13 +263,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     fields = "key binary, doc_id bigint, start int, strings int, place int, gram bigint, content bigint"
     long = docs.where(F.octet_length("text") >= length)
     every = cut_lineage(long.mapInArrow(_find_runs(length, gram), fields))
-    again = every.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("gram")
+    # Tables of keys are written before they are joined: adaptive execution splits a hot gram of plain shuffles only.
+    again = cut_lineage(every.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("gram"))
     runs = cut_lineage(every.join(again, "gram"))
 
     kinds = cut_lineage(runs.groupBy("gram", "content").agg(
         F.count(F.lit(1)).alias("times"), F.min(F.struct("doc_id", "key", "start", "strings", "place")).alias("at")
     ))
-    several = kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    several = cut_lineage(kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"))
     compared = kinds.join(several, "gram")
     wanted = compared.select("at.key", "at.doc_id", F.struct("gram", "content", "at.start", "at.strings", "at.place").alias("w"))
     wanted = wanted.groupBy("key", "doc_id").agg(F.collect_list("w").alias("wanted")).select(
