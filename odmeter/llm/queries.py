@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from odmeter.llm import bitpack, host_rules, lm_scoring, lm_whole, mixing, near_copies, near_vectors, packing, pii, quality_model, repeats
+from odmeter.llm import bitpack, harmonic, host_rules, lexical, lm_scoring, lm_whole, mixing, near_copies, near_vectors, packing, pii
+from odmeter.llm import prefix_trie, quality_model, repeats
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -18,6 +19,9 @@ QUERIES = {
     "op8_remove_repeats": repeats.op8_remove_repeats,
     "op9_mix_sources": mixing.op9_mix_sources,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
+    "op11_ranked_search": lexical.op11_ranked_search,
+    "op12_harmonic_packing": harmonic.op12_harmonic_packing,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 
 ORACLES = {
@@ -26,4 +30,6 @@ ORACLES = {
     "op5_near_vectors": near_vectors.ORACLE,
     "op6_host_rules": host_rules.ORACLE,
     "op9_mix_sources": mixing.ORACLE,
+    "op11_ranked_search": lexical.ORACLE,
+    "op13_prefix_trie": prefix_trie.ORACLE,
 }
