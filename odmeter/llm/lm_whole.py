@@ -1,7 +1,13 @@
-"""Cross-entropy difference as in ``lm_scoring``, over every word of target and background: no limit, no entry for other words.
+"""Cross-entropy difference: how much likelier a target's language model finds a text than the background's.
 
-``x(h, w) = ln(t(h,w) + MASS * pt(w)) - ln(t(h) + MASS) - ln(f(h,w) * s + MASS * pf(w)) + ln(f(h) * s + MASS)`` for a word ``w``
-after ``h``, with target counts t, counts f of all documents, and s the target's words by those of all documents.
+Two bigram models share one vocabulary: every word of target and background, without a limit and without an entry for other words.  The
+background is all documents, every one of them; its counts are scaled to the target's number of tokens, so that both are
+smoothed alike.  A bigram's chance is ``(c(h, w) + MASS * p(w)) / (c(h) + MASS)`` with add-one word chances ``p(w)``.  A document's
+score is the mean over its words of (background loss - target loss): higher is nearer to the target.  Of a word ``w`` after ``h`` it is
+
+``x(h, w) = ln(t(h,w) + MASS * pt(w)) - ln(t(h) + MASS) - ln(f(h,w) * s + MASS * pf(w)) + ln(f(h) * s + MASS)``
+
+with target counts t, counts f of all documents, and s the target's words by those of all documents.
 
 * **Words** are counted first (one row per word and task).  Heavy words, of which at most 65,536 exist, are broadcast with
   their counts; then pairs of two heavy words are counted, and heavy pairs among them are scored where the text is read.
@@ -11,7 +17,10 @@ after ``h``, with target counts t, counts f of all documents, and s the target's
 * Sums per text and task, at most one for each of its words, go back to the text's row; nothing but totals and heavy entries
   reaches the driver.
 
-Words are told apart by 64-bit hashes.  Defined results are those of ``lm_scoring``.
+Words are told apart by 64-bit hashes.
+
+Defined results: NULL and empty texts have no word and score 0; without target words every score is 0; repeated documents count and
+score each; an empty table gives an empty result.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,9 +32,9 @@ from pyspark.sql import functions as F
 
 from odmeter.llm.groups import whole_groups
 from odmeter.llm.hashing import Words, chunks, mix64
-from odmeter.llm.lm_scoring import MASS
 from odmeter.session import new_folder, ship_package
 
+MASS = 5.0
 BEGIN = np.uint64(0)
 FLUSH = 1 << 20
 BUCKET = 1 << 20
@@ -367,7 +376,7 @@ SELECT doc_id, len(w)::BIGINT AS n_words, round(coalesce(x, 0) / greatest(len(w)
 """
 
 
-def op1_cross_entropy_all_words(spark, sf_dir: str) -> DataFrame:
+def op1_cross_entropy_difference(spark, sf_dir: str) -> DataFrame:
     """All documents against the benchmark's texts as the target, over all words of both; scores to six decimals."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     target = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("text")

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from odmeter.llm import bitpack, harmonic, host_rules, lexical, lm_scoring, lm_whole, mixing, near_copies, near_vectors, packing, pii
+from odmeter.llm import bitpack, harmonic, host_rules, lexical, lm_whole, mixing, near_copies, near_vectors, packing, pii
 from odmeter.llm import prefix_trie, quality_model, repeats
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
-    "op1_cross_entropy_difference": lm_scoring.op1_cross_entropy_difference,
-    "op1_cross_entropy_all_words": lm_whole.op1_cross_entropy_all_words,
+    "op1_cross_entropy_difference": lm_whole.op1_cross_entropy_difference,
     "op2_personal_data": pii.op2_personal_data,
     "op3_quality_classifier": quality_model.op3_quality_classifier,
     "op4_near_copies": near_copies.op4_near_copies,
@@ -25,8 +24,7 @@ QUERIES = {
 }
 
 ORACLES = {
-    "op1_cross_entropy_difference": lm_scoring.ORACLE,
-    "op1_cross_entropy_all_words": lm_whole.ORACLE,
+    "op1_cross_entropy_difference": lm_whole.ORACLE,
     "op5_near_vectors": near_vectors.ORACLE,
     "op6_host_rules": host_rules.ORACLE,
     "op9_mix_sources": mixing.ORACLE,

@@ -1,16 +1,15 @@
-"""Quality classifier, language models and the tagger: accuracy on held-out rows, gradients, brute force, odd cases."""
+"""Quality classifier and the tagger: accuracy on held-out rows, gradients, brute force, odd cases."""
 
 import math
 import random
 import re
 import zlib
-from collections import Counter
 
 import numpy as np
 import pytest
 
 from llm_helpers import clashing, empty_documents, odd_documents, odd_rows, rows_of
-from odmeter.llm import lm_scoring, pii, quality_model, tagger
+from odmeter.llm import pii, quality_model, tagger
 
 
 def test_classifier_on_the_held_out_fold(spark):
@@ -49,59 +48,6 @@ def test_features_do_not_depend_on_neighbours():
         assert sorted(zip(slot[of == k], value[of == k])) == sorted(zip(alone, size))
 
 
-def brute_lm(docs, target, most=lm_scoring.VOCABULARY):
-    words = lambda t: re.findall(r"[^\x20\x09-\x0D]+", t or "")
-    count = Counter(w for t in target for w in words(t))
-    vocabulary = [w for w, n in sorted(count.items(), key=lambda x: (-x[1], x[0])) if n > 1][:most]
-    entry = {w: w for w in vocabulary}
-
-    def model(texts, tokens=None):
-        pairs = Counter()
-        for t in texts:
-            before = None
-            for w in words(t):
-                pairs[before, entry.get(w, "<other>")] += 1
-                before = entry.get(w, "<other>")
-        total = sum(pairs.values())
-        scale = (tokens if tokens is not None else total) / max(1, total)
-        single, held = Counter(), Counter()
-        for (h, w), n in pairs.items():
-            single[w] += n * scale
-            held[h] += n * scale
-        everything = sum(single.values()) + len(vocabulary) + 1
-        return lambda h, w: -math.log((pairs[h, w] * scale + lm_scoring.MASS * (single[w] + 1) / everything) / (held[h] + lm_scoring.MASS)), total
-
-    near, tokens = model(target)
-    far, _ = model(docs, tokens)
-    out = []
-    for t in docs:
-        before, total, all_words = None, 0.0, words(t)
-        for w in all_words:
-            w = entry.get(w, "<other>")
-            total += far(before, w) - near(before, w)
-            before = w
-        out.append(total / max(1, len(all_words)))
-    return out
-
-
-def test_language_models_against_brute_force(spark, sf):
-    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
-    target = [r["text"] for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
-    want = dict(zip([r["doc_id"] for r in docs], brute_lm([r["text"] for r in docs], target)))
-    for r in lm_scoring.op1_cross_entropy_difference(spark, sf).collect():
-        assert r["score"] == pytest.approx(want[r["doc_id"]], abs=1e-5)
-
-
-def test_language_models_on_odd_documents(spark):
-    docs = clashing(odd_documents(spark), "score", "n_words")
-    target = spark.createDataFrame([("an be ti an be ti",), (None,), ("",)], "text string")
-    rows = lm_scoring.score(docs, target).collect()
-    assert len(rows) == len(odd_rows()) and all(r["score"] == 0 for r in rows if r["n_words"] == 0)
-    no_target = spark.createDataFrame([], "text string")
-    assert {r["score"] for r in lm_scoring.score(docs, no_target).collect()} == {0.0}
-    assert lm_scoring.score(empty_documents(spark), target).count() == 0
-
-
 def test_tagger_gradients():
     draw = np.random.default_rng(0)
     model = tagger.Tagger(hidden=5)

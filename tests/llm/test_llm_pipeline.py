@@ -63,4 +63,4 @@ def test_registered_names():
     import __spark_entry__ as entry
 
     assert set(QUERIES) <= set(entry.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 14))
