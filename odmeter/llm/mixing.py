@@ -7,7 +7,8 @@ left, ``R = T - floor(T / S) * S`` words, is a sample without replacement: with
 Probabilities differ between sources, and between the documents of a source where ``preference`` is given.
 
 No source passes through one task: ranks are cut into ``BUCKETS`` buckets, words are summed per bucket
-first, and only the one bucket of a source in which R is reached is ordered row by row.
+first, and only the one bucket of a source in which R is reached is ordered row by row.  Texts are in no shuffle: what is
+decided on slim rows comes down to one cut per source.
 
 Defined results: a NULL text has size 0 and takes 0 words; a NULL source is a source, the last one; rows that
 repeat are documents of their own and tie, so that it doesn't matter which is taken; an empty table gives
@@ -28,6 +29,7 @@ WEIGHTS = (5, 2, 1)
 CAP = 3
 BUCKETS = 4096
 SEED = "mix-1"
+SENT_SOURCES = 65_536
 ADDED = ["size", "source_size", "target", "copies", "taken"]
 
 
@@ -85,8 +87,7 @@ def mix(docs: DataFrame, preference: Column | None = None, seed: str = SEED) ->
     (positive) makes some documents of a source likelier than others to get the copy beyond the certain ones; by
     default all are equal.
     """
-    sized = _sized(docs, F.struct(*(F.col(f"`{c}`") for c in docs.columns)), preference, seed)
-    placed = _place(sized, sized.drop("_row"))
+    placed = _place(_sized(docs, F.struct(*(F.col(f"`{c}`") for c in docs.columns)), preference, seed))
     kept = [F.col("_row")[c].alias(c) for c in docs.columns if c not in ADDED]
     return placed.select(*kept, *ADDED)
 
@@ -97,7 +98,7 @@ def mix_sizes(docs: DataFrame, seed: str = SEED) -> DataFrame:
     Texts are read once; the slim rows are written and used from then on.
     """
     slim = cut_lineage(_sized(docs, F.struct("doc_id"), None, seed))
-    return _place(slim, slim).select("_row.doc_id", *ADDED)
+    return _place(slim).select("_row.doc_id", *ADDED)
 
 
 def _sized(docs: DataFrame, row: Column, preference: Column | None, seed: str) -> DataFrame:
@@ -111,7 +112,8 @@ def _sized(docs: DataFrame, row: Column, preference: Column | None, seed: str) -
     )
 
 
-def _place(full: DataFrame, slim: DataFrame) -> DataFrame:
+def _source_facts(slim: DataFrame) -> DataFrame:
+    """source, source_size, target, _whole (certain copies), _rest (words left to sample) and _liked (preference times size)."""
     targets = source_targets(slim.select("source", "size")).join(
         slim.groupBy("source").agg(F.sum(F.col("size") * F.col("_preference")).alias("_liked"))
         .withColumnRenamed("source", "_liked_source"),
@@ -119,48 +121,104 @@ def _place(full: DataFrame, slim: DataFrame) -> DataFrame:
     ).drop("_liked_source")
     whole = F.when(F.col("source_size") == 0, 0).otherwise(F.floor(F.col("target") / F.col("source_size")))
     targets = targets.withColumn("_whole", F.least(whole, F.lit(CAP)).cast("bigint"))
-    targets = cut_lineage(targets.withColumn("_rest", F.col("target") - F.col("_whole") * F.col("source_size")))
-
-    def ranked(rows: DataFrame) -> DataFrame:
-        facts = targets.withColumnRenamed("source", "_source")
-        rows = rows.join(facts, rows["source"].eqNullSafe(facts["_source"])).drop("_source")
-        chance = F.col("_rest") * F.col("_preference") / F.col("_liked")
-        chance = F.greatest(F.least(chance, F.lit(1 - 1e-9)), F.lit(1e-12))
-        rank = F.col("_u") / (1 - F.col("_u")) * ((1 - chance) / chance)
-        rows = rows.withColumn("_rank", rank)
-        return rows.withColumn("_bucket", F.floor(F.col("_rank") / (1 + F.col("_rank")) * BUCKETS))
-
-    drawn = F.col("size") > 0
-    words = ranked(slim).where(drawn).groupBy("source", "_bucket").agg(
+    return cut_lineage(targets.withColumn("_rest", F.col("target") - F.col("_whole") * F.col("source_size")))
+
+
+def _ranked(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """``rows`` with the facts of their source, _rank (odds over inclusion odds) and its bucket."""
+    facts = facts.withColumnRenamed("source", "_source")
+    rows = rows.join(facts, rows["source"].eqNullSafe(facts["_source"])).drop("_source")
+    chance = F.col("_rest") * F.col("_preference") / F.col("_liked")
+    chance = F.greatest(F.least(chance, F.lit(1 - 1e-9)), F.lit(1e-12))
+    rows = rows.withColumn("_rank", F.col("_u") / (1 - F.col("_u")) * ((1 - chance) / chance))
+    return rows.withColumn("_bucket", F.floor(F.col("_rank") / (1 + F.col("_rank")) * BUCKETS))
+
+
+def _edges(slim: DataFrame, facts: DataFrame) -> DataFrame:
+    """The bucket in which each source's rest is reached (_edge) and the words _before it; one row per source at most."""
+    words = _ranked(slim, facts).where(F.col("size") > 0).groupBy("source", "_bucket").agg(
         F.sum("size").alias("_words"), F.first("_rest").alias("_rest")
     )
     running = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     words = words.withColumn("_before", F.coalesce(F.sum("_words").over(running), F.lit(0)))
-    # the bucket in which the rest is reached: one row per source at most
     edge = words.where((F.col("_before") <= F.col("_rest")) & (F.col("_before") + F.col("_words") > F.col("_rest")))
-    edge = edge.select(F.col("source").alias("_edge_source"), F.col("_bucket").alias("_edge"), "_before")
+    return edge.select(F.col("source").alias("_edge_source"), F.col("_bucket").alias("_edge"), "_before")
+
 
-    rows = ranked(full)
+def _place(slim: DataFrame) -> DataFrame:
+    """Sizes, targets and copies of slim rows."""
+    facts, drawn = _source_facts(slim), F.col("size") > 0
+    edge = _edges(slim, facts)
+    rows = _ranked(slim, facts)
     rows = rows.join(edge, rows["source"].eqNullSafe(edge["_edge_source"]), "left").drop("_edge_source")
     at_edge = drawn & (F.col("_bucket") == F.col("_edge"))
     below = drawn & F.coalesce(F.col("_bucket") < F.col("_edge"), F.col("_rest") > 0)
-    inside = Window.partitionBy("source").orderBy("_rank", "size").rowsBetween(Window.unboundedPreceding, -1)
-    reached = F.col("_before") + F.coalesce(F.sum("size").over(inside), F.lit(0)) + F.col("size") / 2
-    cut = rows.where(at_edge).withColumn("_extra", (reached <= F.col("_rest")).cast("bigint"))
+    cut = _reached(rows.where(at_edge)).withColumn("_extra", F.col("_taken").cast("bigint"))
     plain = rows.where(F.coalesce(~at_edge, F.lit(True))).withColumn("_extra", F.coalesce(below, F.lit(False)).cast("bigint"))
     copies = F.when(drawn, F.col("_whole") + F.col("_extra")).otherwise(0).cast("bigint")
-    return cut.unionByName(plain).select(
+    return cut.drop("_taken").unionByName(plain).select(
         "_row", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
     )
 
 
+def _reached(rows: DataFrame) -> DataFrame:
+    """Rows of the edge buckets with _taken: whether the rest is not passed by their middle."""
+    inside = Window.partitionBy("source").orderBy("_rank", "size").rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.col("_before") + F.coalesce(F.sum("size").over(inside), F.lit(0)) + F.col("size") / 2
+    return rows.withColumn("_taken", reached <= F.col("_rest"))
+
+
+def source_cuts(slim: DataFrame) -> DataFrame:
+    """The decisions as one row per source: its facts, and where the extra copies end.
+
+    Places are (rank, size).  Rows before (_cut_rank, _cut_size) have an extra copy; of the _cut_total rows just there, which are
+    one row repeated, _cut_rows have.  A source without such a place (NULL) gives an extra copy to every row or to none (_all).
+    """
+    facts = _source_facts(slim)
+    edge = _edges(slim, facts)
+    rows = _ranked(slim, facts)
+    rows = rows.join(edge, rows["source"].eqNullSafe(edge["_edge_source"])).drop("_edge_source")
+    rows = rows.where((F.col("size") > 0) & (F.col("_bucket") == F.col("_edge")))
+    places = _reached(rows).groupBy("source", "_rank", "size").agg(F.count_if("_taken").alias("taken"), F.count(F.lit(1)).alias("total"))
+    place = F.struct("_rank", "size", "taken", "total")
+    # the last place with a taken row, or where an edge bucket has none its first place
+    last = places.groupBy(F.col("source").alias("_cut_source")).agg(
+        F.coalesce(F.max(F.when(F.col("taken") > 0, place)), F.min(place)).alias("_cut")
+    )
+    out = facts.join(last, facts["source"].eqNullSafe(last["_cut_source"]), "left").drop("_cut_source")
+    return out.select(
+        "source", "source_size", "target", "_whole", "_rest", "_liked", (F.col("_rest") > 0).alias("_all"), F.col("_cut._rank").alias("_cut_rank"),
+        F.col("_cut.size").alias("_cut_size"), F.col("_cut.taken").alias("_cut_rows"), F.col("_cut.total").alias("_cut_total"),
+    )
+
+
 def mixed(docs: DataFrame) -> DataFrame:
     """The mix itself: columns of ``docs``, each document as often as it is taken; documents without words
     are not part of a mix.
+
+    The decisions are made on slim rows.  Texts are read a second time and kept or left where they are read: a row looks up
+    its source's cut.  Only rows that repeat just at a cut, and of which some are taken, are numbered.  Cuts are sent to the tasks if
+    there are at most ``SENT_SOURCES`` of them, and joined otherwise.
     """
-    placed = _place(sized := _sized(docs, F.struct(*(F.col(f"`{c}`") for c in docs.columns)), None, SEED), sized.drop("_row"))
-    copies = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
-    repeated = placed.where(F.col("copies") > 0).select("_row", copies.alias("_copy"))
+    slim = cut_lineage(_sized(docs, F.struct("doc_id"), None, SEED))
+    cuts = cut_lineage(source_cuts(slim))
+    parted = (F.col("_cut_rows") > 0) & (F.col("_cut_rows") < F.col("_cut_total"))
+    sources, partings = cuts.agg(F.count(F.lit(1)), F.count_if(parted)).first()
+    sized = _sized(docs, F.struct(*(F.col(f"`{c}`") for c in docs.columns)), None, SEED)
+    rows = _ranked(sized, F.broadcast(cuts) if sources <= SENT_SOURCES else cuts).where(F.col("size") > 0)
+
+    def known(condition: Column) -> Column:
+        return F.coalesce(condition, F.lit(False))
+
+    before = known((F.col("_rank") < F.col("_cut_rank")) | ((F.col("_rank") == F.col("_cut_rank")) & (F.col("size") < F.col("_cut_size"))))
+    there = known((F.col("_rank") == F.col("_cut_rank")) & (F.col("size") == F.col("_cut_size")))
+    extra = F.when(F.col("_cut_rank").isNull(), F.col("_all")).otherwise(before | (there & (F.col("_cut_rows") > 0)))
+    taken = rows.withColumn("_copies", F.col("_whole") + extra.cast("int"))
+    if partings:
+        number = F.row_number().over(Window.partitionBy("source").orderBy("_rank"))
+        some = rows.where(there & known(parted)).withColumn("_copies", F.col("_whole") + (number <= F.col("_cut_rows")).cast("int"))
+        taken = taken.where(~(there & known(parted))).unionByName(some)
+    repeated = taken.where(F.col("_copies") > 0).select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy"))
     return repeated.select([F.col("_row")[c].alias(c) for c in docs.columns])
 
 

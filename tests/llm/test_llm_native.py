@@ -96,6 +96,25 @@ def test_mixed_keeps_rows_and_clashing_columns(spark):
     assert mixed.count() == copies
 
 
+@pytest.mark.parametrize("sent", [0, 10**6])
+def test_mixed_takes_what_the_sizes_say(spark, sf, sent, monkeypatch):
+    """Cuts against the decisions per row, with few sources and many, and with a row that repeats at the cut."""
+    monkeypatch.setattr(mixing, "SENT_SOURCES", sent)
+    one = [(1, "w " * 7, "big")] * 30 + [(2, "v " * 3, "small")] * 11 + [(3, "u", None)] * 2
+    some = [(k, "a b c " * (k % 9), f"s{k % 13}") for k in range(300)]
+    for rows in (spark.createDataFrame(one, "doc_id bigint, text string, source string"), spark.createDataFrame(one + some, "doc_id bigint, text string, source string").repartition(4)):
+        want = {}
+        for r in mixing.mix_sizes(rows).collect():
+            want[r["doc_id"]] = want.get(r["doc_id"], 0) + r["copies"]
+        got = {r["doc_id"]: r["count"] for r in mixing.mixed(rows).groupBy("doc_id").count().collect()}
+        assert got == {k: n for k, n in want.items() if n}
+
+
+def test_texts_are_in_no_shuffle_of_a_mix(spark, sf):
+    plan = plan_of(mixing.mixed(spark.read.parquet(f"{sf}/documents.parquet")))
+    assert "Exchange hashpartitioning" not in plan and "Window" not in plan and plan.count("FileScan") == 1
+
+
 def test_one_host_of_failures_is_turned_away(spark):
     rows = [(k, "word " * 3, "bad") for k in range(50)] + [(100, " ".join(f"w{i}" for i in range(40)), "bad")]
     rows += [(200 + k, " ".join(f"w{i}" for i in range(40)), "good") for k in range(50)]
