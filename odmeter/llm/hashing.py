@@ -14,15 +14,20 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _POWERS = {_BASE: np.ones(1, np.uint64), _BASE_INVERSE: np.ones(1, np.uint64)}
 
 CHUNK_BYTES = 1 << 20
+#: powers that a worker keeps, 20 MB of each base; those for longer buffers are made when they are asked for
+KEEP_POWERS = 2_500_000
 
 
 def powers(base: int, count: int) -> np.ndarray:
     """``base ** 0 .. base ** (count - 1)`` modulo 2^64."""
-    if len(_POWERS[base]) < count:
-        factors = np.full(count + (count >> 1) + 1, base, np.uint64)
+    held = _POWERS[base]
+    if len(held) < count:
+        factors = np.full(max(count, min(count + (count >> 1) + 1, KEEP_POWERS)), base, np.uint64)
         factors[0] = 1
-        _POWERS[base] = np.cumprod(factors)
-    return _POWERS[base][:count]
+        held = np.cumprod(factors)
+        if len(held) <= KEEP_POWERS:
+            _POWERS[base] = held
+    return held[:count]
 
 
 def mix64(x: np.ndarray, salt: int = 0) -> np.ndarray:

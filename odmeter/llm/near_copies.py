@@ -39,7 +39,7 @@ COORDINATES = BANDS * ROWS
 LIKELY = 0.65
 BLOCK = 4096
 BLOCK_SHINGLES = 8_000_000
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 _UNIT = 2.0**-53
 
 

@@ -54,8 +54,8 @@ class Tagger:
         self.p["trans"], self.p["first"] = np.zeros((TAGS, TAGS)), np.zeros(TAGS)
         self.between, self.start = tag_rules()
 
-    def _lstm(self, side: str, codes: np.ndarray):
-        """States (time x batch x hidden) and what the way back needs."""
+    def _lstm(self, side: str, codes: np.ndarray, back: bool = True):
+        """States (time x batch x hidden) and, with ``back``, what the way back needs."""
         table, rec, h = self.p[f"in_{side}"], self.p[f"rec_{side}"], self.hidden
         steps = codes.T
         state, cell = (np.zeros((codes.shape[0], h)) for _ in range(2))
@@ -69,7 +69,8 @@ class Tagger:
             t = np.tanh(cell)
             state = o * t
             states.append(state)
-            kept.append((c, i, f, o, g, before, t, old))
+            if back:
+                kept.append((c, i, f, o, g, before, t, old))
         return np.stack(states), kept
 
     def _lstm_back(self, side: str, kept, grads: np.ndarray, out: dict) -> None:
@@ -86,10 +87,10 @@ class Tagger:
             d_state, d_cell = dz @ rec.T, d_cell * f
         out[f"in_{side}"], out[f"rec_{side}"] = d_table, d_rec
 
-    def emissions(self, codes: np.ndarray):
+    def emissions(self, codes: np.ndarray, back: bool = True):
         """Tag scores (time x batch x tags) of a batch of windows (batch x time)."""
-        forward, kept_f = self._lstm("f", codes)
-        backward, kept_b = self._lstm("b", codes[:, ::-1])
+        forward, kept_f = self._lstm("f", codes, back)
+        backward, kept_b = self._lstm("b", codes[:, ::-1], back)
         both = np.concatenate([forward, backward[::-1]], 2)
         return both @ self.p["out"] + self.p["bias"], (both, kept_f, kept_b)
 
@@ -153,7 +154,7 @@ class Tagger:
 
     def decode(self, codes: np.ndarray) -> np.ndarray:
         """Best tags (batch x time) under the emissions and the transitions."""
-        scores, _ = self.emissions(codes)
+        scores, _ = self.emissions(codes, back=False)
         trans = self.p["trans"] + self.between
         best, back = scores[0] + self.p["first"] + self.start, []
         for t in range(1, len(scores)):

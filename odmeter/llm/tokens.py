@@ -15,8 +15,8 @@ from array import array
 
 import numpy as np
 
-KEEP = 500_000
-KEEP_STEMS = 800_000
+KEEP = 200_000
+KEEP_STEMS = 300_000
 VOCABULARY = 49_408
 #: ASCII characters after a word that the tokenizer always cuts off from a letter before them
 AFTER = ".,;:!?$%&*#|"
