@@ -99,11 +99,11 @@ SIGNS = ["a", "Be", " ", "  ", "\n", "\t", "é", "7", "'s", "'", "!", "<|endofte
 def test_byte_encoder_equals_plain_encode():
     rng = random.Random(2)
     texts = ["".join(rng.choice(SIGNS) for _ in range(rng.randrange(25))) for _ in range(4000)] + [prose(rng, 400), "x" * 5000]
-    for keep in (byte_tokens.KEEP_BYTES, 1000):
-        encoder = byte_tokens.ByteEncoder(keep_bytes=keep)
+    for keep in (byte_tokens.KEEP, 7):
+        encoder = byte_tokens.ByteEncoder(keep=keep)
         for text in texts:
             assert encoder.encode(text).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids, text
-        assert encoder.held <= keep
+        assert len(encoder.words) <= keep and len(encoder.others) <= keep
     assert encoder.encode(None).tolist() == []
 
 
