@@ -11,7 +11,9 @@ _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_POWERS = {_BASE: np.ones(1, np.uint64), _BASE_INVERSE: np.ones(1, np.uint64)}
+_SECOND_BASE = 0xC2B2AE3D27D4EB4F
+_SECOND_INVERSE = pow(_SECOND_BASE, -1, 1 << 64)
+_POWERS = {b: np.ones(1, np.uint64) for b in (_BASE, _BASE_INVERSE, _SECOND_BASE, _SECOND_INVERSE)}
 
 CHUNK_BYTES = 1 << 20
 #: powers that a worker keeps, 20 MB of each base; those for longer buffers are made when they are asked for

@@ -8,8 +8,8 @@ Neighbouring strings of one anchor form a *run*.  Most anchors occur once, and t
 * Different runs with one anchor gram are compared: the texts after the anchor and those before it (backwards) are
   suffix-sorted (``suffix_sort``), and for each place of a string around its anchor two strings are equal if no smaller common prefix
   lies between them in either order.  Only one copy of equal runs takes part.
-* A gram with more than ``HOT`` different runs is not one task's work: its strings are counted by their 128-bit hash, with
-  partial sums before the shuffle.
+* A gram with more than ``HOT`` different runs is not one task's work: its strings are counted by two 64-bit hashes of
+  different bases, with partial sums before the shuffle.  Equal runs are told by two such hashes too.
 
 Everything is judged on the input.  Texts longer than a chunk are cut into segments that overlap by 399 bytes.
 
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from odmeter.llm.groups import whole_groups
-from odmeter.llm.hashing import _BASE, _BASE_INVERSE, mix64, powers
+from odmeter.llm.hashing import _BASE, _BASE_INVERSE, _SECOND_BASE, _SECOND_INVERSE, mix64, powers
 from odmeter.llm.suffix_sort import deep_shallow_sort
 from odmeter.session import cut_lineage, ship_package
 
@@ -36,6 +36,7 @@ GRAM = 64
 HOT = 4096
 SEGMENT = 1 << 20
 _PLACE = np.uint64((1 << 26) - 1)
+_SECOND_VALUES = mix64(np.arange(256, dtype=np.uint64), 80)
 
 
 def _hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -45,6 +46,13 @@ def _hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sums, powers(_BASE_INVERSE, len(data) + 1)
 
 
+def _second_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``_hashes``, with other values of the bytes and another base."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_SECOND_VALUES[data] * powers(_SECOND_BASE, len(data)), out=sums[1:])
+    return sums, powers(_SECOND_INVERSE, len(data) + 1)
+
+
 def _slice_hash(sums, inverse, start, end):
     return (sums[end] - sums[start]) * inverse[start]
 
@@ -60,7 +68,7 @@ def lowest_in_windows(values: np.ndarray, width: int) -> np.ndarray:
 
 def runs_of(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> dict[str, np.ndarray]:
     """Runs of all texts: text number, start of the first string, number of strings, anchor's place after the start, hashes of
-    the anchor gram and of the run's bytes."""
+    the anchor gram and (two, independent) of the run's bytes."""
     parts = []
     sizes = np.array([len(t) for t in texts], np.int64)
     bounds = np.concatenate([[0], np.cumsum(sizes)])
@@ -80,10 +88,17 @@ def runs_of(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> dict[
             first = np.flatnonzero(new)
             count = np.diff(np.append(first, len(starts)))
             start, owner, anchor = starts[first], owner[first], anchor[first]
-            content = mix64(_slice_hash(sums, inverse, start, start + count + length - 1) + mix64(count.astype(np.uint64), 70), 71)
-            parts = [owner, start - bounds[owner], count, anchor - start, grams[anchor].view(np.int64), content.view(np.int64)]
+            second, second_inverse = _second_hashes(data)
+            end, sized = start + count + length - 1, mix64(count.astype(np.uint64), 70)
+            content = [mix64(_slice_hash(sums, inverse, start, end) + sized, 71), mix64(_slice_hash(second, second_inverse, start, end) + sized, 72)]
+            parts = [owner, start - bounds[owner], count, anchor - start, grams[anchor].view(np.int64), np.stack(content, 1)]
     names = ("text", "start", "strings", "place", "gram", "content")
-    return dict(zip(names, parts or [np.zeros(0, np.int64)] * 6))
+    return dict(zip(names, parts or [*[np.zeros(0, np.int64)] * 5, np.zeros((0, 2), np.uint64)]))
+
+
+def _as_bytes(pairs: np.ndarray) -> pa.Array:
+    """Two 64-bit numbers a row as 16 bytes."""
+    return pa.Array.from_buffers(pa.binary(16), len(pairs), [None, pa.py_buffer(np.ascontiguousarray(pairs))]).cast(pa.binary())
 
 
 def _segments(batch: pa.RecordBatch, column: int, length: int):
@@ -113,7 +128,7 @@ def _find_runs(length: int, gram: int):
                 yield pa.RecordBatch.from_pydict({
                     "key": keys.take(pa.array(row)), "doc_id": ids.take(pa.array(row)),
                     "start": pa.array((found["start"] + offset).astype(np.int32)), "strings": pa.array(found["strings"].astype(np.int32)),
-                    "place": pa.array(found["place"].astype(np.int32)), "gram": found["gram"], "content": found["content"],
+                    "place": pa.array(found["place"].astype(np.int32)), "gram": found["gram"], "content": _as_bytes(found["content"]),
                 })
 
     return find
@@ -137,7 +152,7 @@ def _cut_contents(length: int):
                 yield batch_of(out)
 
     def batch_of(rows):
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+        kinds = (pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["gram", "content", "strings", "before", "after"])
 
     return cut
@@ -179,7 +194,7 @@ def _compare(length: int):
     def compare(batches):
         for table, bounds in whole_groups(batches, "gram"):
             groups = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-            gram, content, strings = (table.column(c).to_numpy() for c in ("gram", "content", "strings"))
+            gram, strings, content = table.column("gram").to_numpy(), table.column("strings").to_numpy(), np.array(table.column("content").to_pylist(), object)
             fresh = np.ones(len(gram), bool)  # a text whose row repeats brings its runs again
             fresh[1:] = (gram[1:] != gram[:-1]) | (content[1:] != content[:-1])
             at = np.flatnonzero(fresh)
@@ -187,7 +202,7 @@ def _compare(length: int):
             found = equal_strings(groups[at], before, after, strings[at], length)
             keep = [k for k, f in enumerate(found) if f.any()]
             yield pa.RecordBatch.from_pydict({
-                "gram": pa.array(gram[at[keep]], pa.int64()), "content": pa.array(content[at[keep]], pa.int64()),
+                "gram": pa.array(gram[at[keep]], pa.int64()), "content": pa.array(content[at[keep]], pa.binary()),
                 "bits": pa.array([np.packbits(found[k]).tobytes() for k in keep], pa.binary()),
             })
 
@@ -200,13 +215,12 @@ def _hash_strings(length: int):
             for gram, content, count, before, after in zip(*(c.to_pylist() for c in batch.columns)):
                 data = np.frombuffer(before[::-1] + after, np.uint8)
                 sums, inverse = _hashes(data)
-                second = np.zeros(len(data) + 1, np.uint64)
-                np.cumsum(mix64(data.astype(np.uint64), 80) * powers(_BASE, len(data)), out=second[1:])
+                second, second_inverse = _second_hashes(data)
                 start = np.arange(count)
                 yield pa.RecordBatch.from_pydict({
-                    "gram": np.full(count, gram), "content": np.full(count, content), "n": start.astype(np.int32),
+                    "gram": np.full(count, gram), "content": pa.array([content] * count, pa.binary()), "n": start.astype(np.int32),
                     "h1": mix64(_slice_hash(sums, inverse, start, start + length), 81).view(np.int64),
-                    "h2": mix64(_slice_hash(second, inverse, start, start + length), 82).view(np.int64),
+                    "h2": mix64(_slice_hash(second, second_inverse, start, start + length), 82).view(np.int64),
                 })
 
     return strings
@@ -260,7 +274,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept_bytes) for every row of ``docs`` (doc_id bigint, text)."""
     ship_package(docs.sparkSession)
     docs = docs.select(F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("key"), "text", F.col("doc_id").cast("bigint").alias("doc_id"))
-    fields = "key binary, doc_id bigint, start int, strings int, place int, gram bigint, content bigint"
+    fields = "key binary, doc_id bigint, start int, strings int, place int, gram bigint, content binary"
     long = docs.where(F.octet_length("text") >= length)
     every = cut_lineage(long.mapInArrow(_find_runs(length, gram), fields))
     # Tables of keys are written before they are joined: adaptive execution splits a hot gram of plain shuffles only.
@@ -278,17 +292,17 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     )
     sources = docs.join(wanted, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc_id")))
     contents = cut_lineage(sources.select("text", "wanted").mapInArrow(
-        _cut_contents(length), "gram bigint, content bigint, strings int, before binary, after binary"
+        _cut_contents(length), "gram bigint, content binary, strings int, before binary, after binary"
     ))
     many = several.where(F.col("kinds") > hot).select("gram")
     few = contents.join(many, "gram", "left_anti").repartition("gram").sortWithinPartitions("gram", "content")
-    sorted_bits = few.mapInArrow(_compare(length), "gram bigint, content bigint, bits binary")
+    sorted_bits = few.mapInArrow(_compare(length), "gram bigint, content binary, bits binary")
 
     hot_runs = contents.join(many, "gram", "left_semi").dropDuplicates(["gram", "content"])
-    strings = cut_lineage(hot_runs.mapInArrow(_hash_strings(length), "gram bigint, content bigint, n int, h1 bigint, h2 bigint"))
+    strings = cut_lineage(hot_runs.mapInArrow(_hash_strings(length), "gram bigint, content binary, n int, h1 bigint, h2 bigint"))
     equal = strings.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("h1", "h2")
     places = strings.join(equal, ["h1", "h2"]).groupBy("gram", "content").agg(F.collect_list("n").alias("places"))
-    hot_bits = places.mapInArrow(_gather, "gram bigint, content bigint, bits binary")
+    hot_bits = places.mapInArrow(_gather, "gram bigint, content binary, bits binary")
 
     whole = kinds.where("times > 1").select("gram", "content", F.lit(None).cast("binary").alias("bits"))
     partly = sorted_bits.unionByName(hot_bits).join(kinds.where("times = 1").select("gram", "content"), ["gram", "content"], "left_semi")
@@ -304,4 +318,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
 
 def op8_remove_repeats(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return remove_repeats(docs)
+    return remove_repeats(docs).withColumn("has_repeat", F.col("n_removed") > 0)

@@ -1,6 +1,6 @@
 """Deep-shallow sorting of byte strings.
 
-A multikey quicksort splits the strings by one multi-byte character (eight bytes) after the other down to a shallow depth;
+A multikey quicksort splits the strings in three at a pivot, by one symbol of eight bytes after the other, down to a shallow depth;
 groups that still agree are ordered by a blind trie each, which keeps only branching places and so doesn't care how long
 the common prefixes are.
 """
@@ -79,33 +79,54 @@ class BlindTrie:
         return order, shared
 
 
+def _pivot(keys: np.ndarray) -> int:
+    """The middle one of three."""
+    return sorted((int(keys[0]), int(keys[len(keys) // 2]), int(keys[-1])))[1]
+
+
+def multikey_quicksort(symbols: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Order of the rows of ``symbols`` (a column per depth), and the bounds of the groups that agree in all columns, rising.
+
+    A group is split in three at a pivot of its symbols at one depth: those below and those above stay at this depth, those
+    equal to it go on to the next.
+    """
+    order, groups = np.arange(len(symbols)), []
+    todo = [(0, len(symbols), 0)]
+    while todo:
+        first, last, depth = todo.pop()
+        if last - first < 2 or depth == symbols.shape[1]:
+            if last > first:
+                groups.append((first, last))
+            continue
+        some = order[first:last]
+        keys = symbols[some, depth]
+        pivot = _pivot(keys)
+        low, high = keys < pivot, keys > pivot
+        below, above = some[low], some[high]
+        equal = some[~(low | high)]
+        order[first:last] = np.concatenate([below, equal, above])
+        middle = first + len(below)
+        todo += [(middle + len(equal), last, depth), (middle, middle + len(equal), depth + 1), (first, middle, depth)]
+    return order, groups
+
+
 def deep_shallow_sort(texts: list[bytes], shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
     """Order of the strings, and in that order the common prefix of each with the one before (0 for the first)."""
     n = len(texts)
-    order, shared = np.arange(n), np.zeros(n, np.int64)
+    shared = np.zeros(n, np.int64)
     if n < 2:
-        return order, shared
+        return np.arange(n), shared
     words = -(-shallow // 8)
-    head = np.frombuffer(b"".join(t[: words * 8].ljust(words * 8, b"\0") for t in texts), ">u8").reshape(n, words)
+    head = np.frombuffer(b"".join(t[: words * 8].ljust(words * 8, b"\0") for t in texts), ">u8").reshape(n, words).astype(np.uint64)
     lengths = np.array([len(t) for t in texts])
-    group = np.zeros(n, np.int64)  # of each place in ``order``: first place of its group
-    for w in range(words):
-        held = np.clip(lengths - 8 * w, 0, 8)
-        by = np.lexsort((held[order], head[order, w], group))
-        order, group = order[by], group[by]
-        key, size = head[order, w], held[order]
-        new = np.ones(n, bool)
-        new[1:] = (group[1:] != group[:-1]) | (key[1:] != key[:-1]) | (size[1:] != size[:-1])
-        first = np.flatnonzero(new)
-        for at in first[1:]:
-            if group[at] == group[at - 1]:
-                shared[at] = common_prefix(texts[order[at - 1]], texts[order[at]])
-        group = np.repeat(first, np.diff(np.append(first, n)))
-    first = np.unique(group)
-    for start, end in zip(first, np.append(first[1:], n)):
-        if end - start > 1:
-            some = order[start:end]
+    held = np.clip(lengths[:, None] - 8 * np.arange(words), 0, 8).astype(np.uint64)  # a string that ends comes before those that go on
+    order, groups = multikey_quicksort(np.stack([head, held], 2).reshape(n, 2 * words))
+    for first, last in groups:
+        if first:  # groups differ within the shallow depth, so any of either shows how far they agree
+            shared[first] = common_prefix(texts[order[first - 1]], texts[order[first]])
+        if last - first > 1:
+            some = order[first:last]
             inner, depth = BlindTrie([texts[i] for i in some]).ordered()
-            order[start:end] = some[inner]
-            shared[start + 1 : end] = depth[1:]
+            order[first:last] = some[inner]
+            shared[first + 1 : last] = depth[1:]
     return order, shared

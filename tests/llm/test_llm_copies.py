@@ -208,6 +208,41 @@ def test_deep_shallow_sort():
         assert all(shared[j] == suffix_sort.common_prefix(texts[order[j - 1]], texts[order[j]]) for j in range(1, len(texts)))
 
 
+def test_multikey_quicksort_orders_and_groups():
+    rng = np.random.default_rng(5)
+    for n, columns, values in ((0, 2, 3), (1, 2, 3), (50, 1, 4), (400, 4, 2), (300, 2, 1), (2000, 3, 50)):
+        symbols = rng.integers(0, values, (n, columns)).astype(np.uint64)
+        for rows in (symbols, np.sort(symbols, 0), symbols + np.uint64(2**64 - 60)):
+            order, bounds = suffix_sort.multikey_quicksort(rows)
+            inside = [tuple(map(int, rows[i])) for i in order]
+            assert inside == sorted(inside)
+            assert [b for x in bounds for b in range(*x)] == list(range(n))
+            for (a, b), after in zip(bounds, [*bounds[1:], None]):
+                assert len(set(inside[a:b])) == 1 and (after is None or inside[a] < inside[after[0]])
+
+
+def test_repeats_of_the_documents(spark):
+    """The query on all documents of the small table, against brute force over every 400-byte string."""
+    sf = "/root/testdata/sf0.01"
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    got = repeats.op8_remove_repeats(spark, sf).collect()
+    assert all(r["has_repeat"] == (r["n_removed"] > 0) for r in got)
+    seen, texts = Counter(), [(t or "").encode() for _, t in rows]
+    for t in texts:
+        seen.update(hash(t[i : i + 400]) for i in range(len(t) - 399))
+    want = []
+    for (doc_id, _), t in zip(rows, texts):
+        edge = np.zeros(len(t) + 1, np.int64)
+        for i in range(len(t) - 399):
+            if seen[hash(t[i : i + 400])] > 1:
+                edge[i] += 1
+                edge[i + 400] -= 1
+        gone = np.cumsum(edge)[:-1] > 0
+        spans = int((np.diff(gone.astype(int), prepend=0) == 1).sum())
+        want.append((doc_id, len(t), int(gone.sum()), spans, hashlib.sha256(np.frombuffer(t, np.uint8)[~gone].tobytes()).hexdigest()))
+    assert sorted(tuple(r)[:5] for r in got) == sorted(want)
+
+
 def test_whole_groups_across_batches():
     import pyarrow as pa
 
