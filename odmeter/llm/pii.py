@@ -1,12 +1,16 @@
 """Personal data: base patterns, and spans that a character tagger adds.
 
 Base spans (email, ip, card, phone) are leftmost matches per kind with their checks; they always stay.  A bidirectional LSTM with CRF
-transitions (``tagger``) learns from windows labelled with base spans, ``TRAINING_WINDOWS`` at most, and tags all texts.
-Windows of ``WINDOW`` characters start every ``STRIDE``, so each place is in two; spans of one kind that overlap
-between windows become one, and of overlapping spans of several kinds the longest stays.  A tagged span is added if it
-overlaps no base span and is plausible as its kind.
+transitions (``tagger``) learns from windows labelled with base spans, ``TRAINING_WINDOWS`` at most, drawn by a hash from all windows of
+all texts, and from copies of them in which a span is written as people write it where patterns don't look: national phone
+numbers, "name (at) host (dot) org", "10[.]0[.]0[.]1", cards in other groups.
 
-Every kind holds a digit or an @, so windows without either have no span that could be added and are not run.
+It tags all texts.  Windows of ``WINDOW`` characters start every ``STRIDE``, so each place is in two; spans of one kind that overlap
+between windows become one, and of overlapping spans of several kinds the longest stays.  A tagged span is added if the score of
+the window's tags loses ``MARGIN`` or more without it, if it overlaps no base span, begins and ends at a word's edge, and, read
+plainly, passes the check of its kind (digits, parts, Luhn).
+
+Every kind holds a digit, an @ or an "at" in brackets, so windows without any have no span that could be added and are not run.
 
 Defined results: NULL and empty texts have no span; texts of any length are processed whole, in windows; repeated rows
 get the same spans; an empty table gives an empty result.  Extra columns are ignored, or kept by ``redact``.
@@ -22,17 +26,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from odmeter.llm.tagger import KINDS, PAD, Tagger, character_codes, window_spans
+from odmeter.llm.tagger import KINDS, PAD, Tagger, character_codes
 from odmeter.session import ship_package
 
 WINDOW, STRIDE = 96, 48
 TRAINING_WINDOWS = 1500
-UPDATES = 150
+UPDATES = 300
+MARGIN = 10.0
 RUN = 1024  # windows tagged at once
 
 Span = tuple[str, int, int]
 
-_ANCHOR = re.compile("[0-9@]")
+_AT = re.compile(r"[(\[{] ?(?:at|AT) ?[)\]}]")
+_ANCHOR = re.compile(f"[0-9@]|{_AT.pattern}")
+_BASE_ANCHOR = re.compile("[0-9@]")
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
@@ -69,16 +76,20 @@ def _emails(text: str) -> list[Span]:
 
 def base_spans(text: str | None) -> list[Span]:
     """Spans of the base patterns, by start, then kind."""
-    if not text or not _ANCHOR.search(text):
+    if not text or not _BASE_ANCHOR.search(text):
         return []
     out = _emails(text)
-    out += [("ip", *m.span()) for m in _IP.finditer(text) if _small(m.group())]
+    return in_order(out + [span for span, good in _candidates(text) if good])
+
+
+def _candidates(text: str):
+    """Matches of the patterns of digits, and whether they pass their checks."""
+    for m in _IP.finditer(text):
+        yield ("ip", *m.span()), _small(m.group())
     for kind, pattern, least, most in (("card", _CARD, 12, 19), ("phone", _PHONE, 9, 15)):
         for m in pattern.finditer(text):
             digits = "".join(_DIGITS.findall(m.group()))
-            if least <= len(digits) <= most and (kind == "phone" or luhn(digits)):
-                out.append((kind, *m.span()))
-    return in_order(out)
+            yield (kind, *m.span()), least <= len(digits) <= most and (kind == "phone" or luhn(digits))
 
 
 def in_order(spans: list[Span]) -> list[Span]:
@@ -90,11 +101,12 @@ def written(spans: list[Span]) -> str:
 
 
 def windows(text: str, skip: bool = True) -> tuple[list[int], np.ndarray]:
-    """Starts and character codes of the windows of a text; with ``skip`` only of those with a digit or @."""
+    """Starts and character codes of the windows of a text; with ``skip`` only of those where an anchor begins."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     last = max(0, -(-(len(points) - WINDOW) // STRIDE))
     if skip:
-        at = np.flatnonzero((points == 64) | ((points >= 48) & (points < 58))) // STRIDE
+        at = np.flatnonzero((points == 64) | ((points >= 48) & (points < 58)))
+        at = np.append(at, np.array([m.start() for m in _AT.finditer(text)], np.int64)) // STRIDE
         at = np.unique(np.concatenate([at, at - 1]))
         numbers = np.unique(np.clip(at[at >= 0] if len(at) else at, 0, last)) if len(at) else at
     else:
@@ -104,17 +116,33 @@ def windows(text: str, skip: bool = True) -> tuple[list[int], np.ndarray]:
     return starts, np.stack([padded[s : s + WINDOW] for s in starts]) if starts else np.zeros((0, WINDOW), np.int64)
 
 
-def plausible(kind: str, text: str) -> bool:
-    """Whether a tagged text may be of its kind; stricter than the tagger, looser than the base patterns."""
+_WRITTEN_AT = re.compile(r" ?[(\[{] ?at ?[)\]}] ?", re.IGNORECASE)
+_WRITTEN_DOT = re.compile(r" ?[(\[{] ?(?:dot|\.) ?[)\]}] ?", re.IGNORECASE)
+_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+
+
+def plainly(text: str) -> str:
+    """A span without the brackets around "at", "dot" and stops."""
+    return _WRITTEN_DOT.sub(".", _WRITTEN_AT.sub("@", text))
+
+
+def passes(kind: str, text: str) -> bool:
+    """The check of a kind, however the text is grouped."""
+    text = plainly(text)
     digits = "".join(_DIGITS.findall(text))
     if kind == "email":
-        local, _, host = text.partition("@")
-        return bool(local) and "." in host.strip(".") and all(c in _LOCAL or c == "@" for c in text)
+        return bool(_EMAIL.fullmatch(text))
     if kind == "ip":
-        return text.count(".") == 3 and all(p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in text.split("."))
+        return bool(_IP.fullmatch(text)) and _small(text)
     if kind == "card":
-        return 12 <= len(digits) <= 19 and luhn(digits) and set(text) <= set("0123456789 -.")
-    return 9 <= len(digits) <= 15 and set(text) <= set("+0123456789 ().-") and text[:1] in "+(" and bool(set(text) & set(" ().-"))
+        return 12 <= len(digits) <= 19 and set(text) <= set("0123456789 .-/") and luhn(digits)
+    return 9 <= len(digits) <= 15 and set(text) <= set("+0123456789 ().-/") and not text.isdigit()
+
+
+def at_edges(text: str, start: int, end: int) -> bool:
+    """Whether a span neither begins nor ends inside a word."""
+    before, after = text[start - 1 : start], text[end : end + 1]
+    return not (before.isalnum() and text[start].isalnum()) and not (after.isalnum() and text[end - 1].isalnum())
 
 
 def reconcile(spans: list[Span]) -> list[Span]:
@@ -146,25 +174,33 @@ def all_spans(texts: list[str], tagger: Tagger, skip: bool = True) -> list[tuple
         codes.append(each)
     stacked = np.concatenate(codes) if codes else np.zeros((0, WINDOW), np.int64)
     for at in range(0, len(stacked), RUN):
-        for row, kind, start, end in window_spans(tagger.decode(stacked[at : at + RUN])):
+        for row, kind, start, end, margin in tagger.spans(stacked[at : at + RUN]):
             k, first = owners[at + row]
-            end = min(end, len(texts[k]) - first)
-            if start < end:
-                found[k].append((kind, first + start, first + end))
+            start, end = first + start, min(first + end, len(texts[k]))
+            if start < end and margin >= MARGIN and _ANCHOR.search(texts[k], start, end):
+                found[k].append((kind, start, end))
     out = []
     for text, own, tagged in zip(texts, base, found):
         ends = sorted((s, e) for _, s, e in own)
         added = [
             (kind, s, e) for kind, s, e in reconcile(tagged)
-            if _ANCHOR.search(text, s, e) and plausible(kind, text[s:e]) and all(e <= a or s >= b for a, b in ends)
+            if passes(kind, text[s:e]) and at_edges(text, s, e) and all(e <= a or s >= b for a, b in ends)
         ] if tagged else []
         out.append((own, in_order(own + added)))
     return out
 
 
 def training_windows(text: str) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Codes and tags of the windows of a text with a digit or @."""
+    """Codes and tags of the windows of a text with an anchor.
+
+    Windows with a number that a pattern matches but its check turns down, and that is long enough for its kind, are left out: it may be a phone
+    number before something else, or a card with a wrong digit, and neither is an example of a place outside.
+    """
     tags = np.zeros(len(text) + WINDOW, np.int64)
+    doubtful = np.zeros(len(text) + WINDOW, bool)
+    for (kind, start, end), good in _candidates(text):
+        if not good and kind != "ip" and end - start >= 12:
+            doubtful[start:end] = True
     for kind, start, end in base_spans(text):
         k = KINDS.index(kind)
         tags[start] = 1 + 2 * k
@@ -172,6 +208,8 @@ def training_windows(text: str) -> list[tuple[np.ndarray, np.ndarray]]:
     starts, codes = windows(text)
     out = []
     for s, c in zip(starts, codes):
+        if doubtful[s : s + WINDOW].any():
+            continue
         own = tags[s : s + WINDOW].copy()
         for t in range(WINDOW):  # a span cut off by the window's start has no begin in it
             if own[t] and own[t] % 2 == 0 and (t == 0 or own[t - 1] not in (own[t], own[t] - 1)):
@@ -180,26 +218,76 @@ def training_windows(text: str) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
+def otherwise(kind: str, text: str, draw: np.random.Generator) -> list[tuple[str | None, str]]:
+    """A base span written in a way that the base patterns don't match as a whole: pieces with their kinds."""
+    if kind == "email":
+        at, dot = ((" (at) ", " (dot) "), ("(at)", "."), (" [at] ", " [dot] "), ("[at]", "[dot]"), (" (at) ", "."), (" [AT] ", " [DOT] "))[draw.integers(6)]
+        local, _, host = text.partition("@")
+        if draw.integers(2):  # names of letters alone
+            local, host = _DIGITS.sub("", local).strip("._%+-") or "jo", _DIGITS.sub("", host)
+        if draw.integers(2) and host.count(".") > 1:
+            host = host.partition(".")[2]
+        if draw.integers(2):
+            host = host.rpartition(".")[0] + (".org", ".net", ".de", ".fr", ".co.uk", ".edu")[draw.integers(6)]
+        return [(kind, local + at + host.replace(".", dot))]
+    if kind == "ip":
+        return [(kind, text.replace(".", ("[.]", "(.)", "[dot]")[draw.integers(3)]))]
+    digits = "".join(_DIGITS.findall(text))
+    if kind == "card":
+        return [(kind, (".", "/", " - ")[draw.integers(3)].join(digits[k : k + 4] for k in range(0, len(digits), 4)))]
+    form = draw.integers(9)
+    if form > 5:  # right before an ip the pattern runs on and finds too many digits
+        return [(kind, text), (None, " "), ("ip", ".".join(str(x) for x in draw.integers(10, 256, 4)))]
+    area, rest = digits[-10:-7], digits[-7:]
+    return [(kind, ("({}) {}-{}", "{}-{}-{}", "{}.{}.{}", "({}) {} {}", "0{} {} {}", "{}/{}-{}")[form].format(area, rest[:3], rest[3:]))]
+
+
+def rewritten(codes: np.ndarray, tags: np.ndarray, draw: np.random.Generator) -> tuple[np.ndarray, np.ndarray] | None:
+    """A window with one of its whole spans written otherwise; None if it has none."""
+    begins = np.flatnonzero(tags % 2 == 1)
+    if not len(begins):
+        return None
+    start = int(begins[draw.integers(len(begins))])
+    kind = KINDS[(int(tags[start]) - 1) // 2]
+    end = start + 1
+    while end < len(tags) and tags[end] == tags[start] + 1:
+        end += 1
+    text = "".join(chr(int(c) - 3 + 32) for c in codes[start:end])
+    if not start or tags[-1] or not passes(kind, text):
+        return None  # a span is cut off by the window's edge
+    new_codes, new_tags = [codes[:start]], [tags[:start]]
+    for own, piece in otherwise(kind, text, draw):
+        new_codes.append(character_codes(np.array([ord(c) for c in piece], np.uint32)))
+        new_tags.append(np.zeros(len(piece), np.int64))
+        if own:
+            new_tags[-1][:] = 2 + 2 * KINDS.index(own)
+            new_tags[-1][0] -= 1
+    fill = np.full(len(codes), PAD)
+    return np.concatenate([*new_codes, codes[end:], fill])[: len(codes)], np.concatenate([*new_tags, tags[end:], fill * 0])[: len(tags)]
+
+
 def train(docs: DataFrame, rows: int = TRAINING_WINDOWS, updates: int = UPDATES) -> Tagger:
-    """A tagger fitted on at most ``rows`` windows (four of a text at most), picked by a hash of the text."""
+    """A tagger fitted on at most ``rows`` windows, drawn from all by a hash of their characters, and on a rewritten copy of each that has a whole span."""
     ship_package(docs.sparkSession)
-    ranked = docs.where(F.col("text").rlike("[0-9@]")).select(F.xxhash64("text").alias("rank"), "text")
+    some = docs.where(F.col("text").rlike(_ANCHOR.pattern)).select("text")
 
     def label(batches):
         for batch in batches:
             out = []
-            for order, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for k, (codes, tags) in enumerate(training_windows(text.as_py())[:4]):
-                    out.append((order, k, codes.astype(np.uint8).tobytes(), tags.astype(np.uint8).tobytes()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[c] for r in out], t) for c, t in enumerate((pa.int64(), pa.int32(), pa.binary(), pa.binary()))], names=["rank", "k", "codes", "tags"]
-            )
-
-    made = ranked.mapInArrow(label, "rank bigint, k int, codes binary, tags binary")
-    made = made.distinct().orderBy("rank", "k").limit(rows).collect()
+            for text in batch.column(0):
+                for codes, tags in training_windows(text.as_py()):
+                    out.append((codes.astype(np.uint8).tobytes(), tags.astype(np.uint8).tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], pa.binary()) for c in (0, 1)], names=["codes", "tags"])
+
+    made = some.mapInArrow(label, "codes binary, tags binary").distinct()
+    made = made.orderBy(F.xxhash64("codes"), "codes", "tags").limit(rows).collect()
     tagger = Tagger()
     if made:
         codes, tags = (np.stack([np.frombuffer(r[c], np.uint8) for r in made]).astype(np.int64) for c in ("codes", "tags"))
+        draw = np.random.default_rng(11)
+        more = [x for x in (rewritten(c, t, draw) for c, t in zip(codes, tags)) if x]
+        if more:
+            codes, tags = (np.concatenate([was, np.stack([x[k] for x in more])]) for k, was in enumerate((codes, tags)))
         tagger.fit(codes, tags, updates)
     return tagger
 
@@ -264,4 +352,7 @@ def redact(docs: DataFrame, tagger: Tagger | None = None) -> DataFrame:
 
 def op2_personal_data(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return find(docs.select("doc_id", "text"))
+    found = find(docs.select("doc_id", "text"))
+    n_spans = F.when(F.col("spans") == "", 0).otherwise(F.size(F.split("spans", ","))).cast("bigint")
+    n_base = F.col("n_email") + F.col("n_ip") + F.col("n_card") + F.col("n_phone")
+    return found.withColumn("n_spans", n_spans).withColumn("n_added", F.col("n_spans") - n_base)

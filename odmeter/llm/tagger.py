@@ -154,7 +154,30 @@ class Tagger:
 
     def decode(self, codes: np.ndarray) -> np.ndarray:
         """Best tags (batch x time) under the emissions and the transitions."""
+        return self._best(self.emissions(codes, back=False)[0])
+
+    def spans(self, codes: np.ndarray) -> list[tuple[int, str, int, int, float]]:
+        """(window, kind, start, end, margin) of every span in the best tags; the margin is what the score of the tags
+        loses if the span's places are outside instead.
+        """
         scores, _ = self.emissions(codes, back=False)
+        tags = self._best(scores)
+        trans, first = self.p["trans"] + self.between, self.p["first"] + self.start
+        out = []
+        for row, kind, start, end in window_spans(tags):
+            own = tags[row, start:end]
+            margin = (scores[np.arange(start, end), row, own] - scores[start:end, row, 0]).sum()
+            margin += trans[own[:-1], own[1:]].sum() - trans[0, 0] * (end - start - 1)
+            if start:
+                margin += trans[tags[row, start - 1], own[0]] - trans[tags[row, start - 1], 0]
+            else:
+                margin += first[own[0]] - first[0]
+            if end < tags.shape[1]:
+                margin += trans[own[-1], tags[row, end]] - trans[0, tags[row, end]]
+            out.append((row, kind, start, end, float(margin)))
+        return out
+
+    def _best(self, scores: np.ndarray) -> np.ndarray:
         trans = self.p["trans"] + self.between
         best, back = scores[0] + self.p["first"] + self.start, []
         for t in range(1, len(scores)):
@@ -162,7 +185,7 @@ class Tagger:
             back.append(options.argmax(1))
             best = options.max(1) + scores[t]
         tags = [best.argmax(1)]
-        rows = np.arange(codes.shape[0])
+        rows = np.arange(scores.shape[1])
         for pointer in reversed(back):
             tags.append(pointer[rows, tags[-1]])
         return np.stack(tags[::-1], 1)

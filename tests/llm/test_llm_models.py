@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 import pytest
 
-from llm_helpers import clashing, empty_documents, odd_documents, odd_rows, rows_of
+from llm_helpers import clashing, empty_documents, odd_documents, odd_rows, prose, rows_of
 from odmeter.llm import pii, quality_model, tagger
 
 
@@ -115,6 +115,52 @@ def test_tagger_on_texts_it_has_not_seen(spark, trained, sf):
     assert pii.all_spans(texts[:150], trained, skip=False) == both[:150]
 
 
+PLANTED = [
+    ("phone", "(784) 555-8120"), ("phone", "784-555-8120"), ("phone", "0784 555 8120"), ("email", "jane.doe (at) example (dot) org"),
+    ("email", "bob_smith [at] mail7.example.com"), ("ip", "10[.]0[.]3[.]17"), ("card", "4389.6294.2166.7113"),
+]
+
+
+def test_tagger_adds_spans_that_no_pattern_matches(trained):
+    rng = random.Random(3)
+    texts, want = [], []
+    for k in range(60):
+        kind, span = PLANTED[k % len(PLANTED)]
+        text = prose(rng, rng.randrange(3, 90)) + " "
+        want.append((kind, len(text), len(text) + len(span)))
+        texts.append(text + span + " " + prose(rng, rng.randrange(3, 60)))
+    # a phone number right before an ip: the pattern runs on and has too many digits
+    texts.append("au anvio des +1 (826) 555-4081 190.137.223.204 du anvio et puis")
+    want.append(("phone", 13, 30))
+    both = pii.all_spans(texts, trained)
+    found = [w in spans and w not in base for (base, spans), w in zip(both, want)]
+    assert sum(found) >= 0.9 * len(found) and found[-1]
+    assert sum(len(set(spans) - set(base) - {w}) for (base, spans), w in zip(both, want)) == 0
+
+
+def test_tagger_leaves_plain_numbers_alone(trained):
+    rng = random.Random(4)
+    numbers = ["Version 2.0 of 12 March 2024,", "page 1234567 of 89,", "ISBN 978-3-16-148410-0", "3.14159265358979", "4389629421667114", "at 10:15 (see 4.2)", "1,234,567.89", "(at) home"]
+    texts = [prose(rng, 20) + " " + rng.choice(numbers) + " " + prose(rng, 20) for _ in range(80)]
+    assert all(not spans for _, spans in pii.all_spans(texts, trained))
+
+
+def test_rewritten_windows_keep_their_tags():
+    draw = np.random.default_rng(0)
+    text = "and of the one pf.34@mail7.example.com geiever v 10.0.0.255 in +1 (784) 555-8120 of a 4389629421667113 the inn and of it " * 2
+    seen = set()
+    for codes, tags in pii.training_windows(text) * 40:
+        new = pii.rewritten(codes, tags, draw)
+        if new:
+            assert [len(x) for x in new] == [pii.WINDOW] * 2
+            for _, kind, start, end in tagger.window_spans(new[1][None]):
+                if end < pii.WINDOW and start:
+                    written = "".join(chr(int(c) - 3 + 32) for c in new[0][start:end])
+                    seen.add(kind)
+                    assert pii.passes(kind, written), written
+    assert seen == set(tagger.KINDS)
+
+
 def test_reconcile():
     assert pii.reconcile([("ip", 5, 9), ("ip", 7, 12), ("card", 11, 13), ("email", 20, 22)]) == [("ip", 5, 12), ("email", 20, 22)]
     assert pii.reconcile([]) == []
