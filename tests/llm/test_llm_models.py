@@ -149,7 +149,8 @@ def test_rewritten_windows_keep_their_tags():
     draw = np.random.default_rng(0)
     text = "and of the one pf.34@mail7.example.com geiever v 10.0.0.255 in +1 (784) 555-8120 of a 4389629421667113 the inn and of it " * 2
     seen = set()
-    for codes, tags in pii.training_windows(text) * 40:
+    alone = "and of the one pf.34@mail7.example.com geiever of the inn " + "and " * 30
+    for codes, tags in (pii.training_windows(text) + pii.training_windows(alone)) * 40:
         new = pii.rewritten(codes, tags, draw)
         if new:
             assert [len(x) for x in new] == [pii.WINDOW] * 2
