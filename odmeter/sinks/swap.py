@@ -11,7 +11,9 @@ copy of its files:
 
 ``repair`` reads the intent.  Without a done mark it goes forward if every new file is complete, by name
 and size, in the month or in staging; else it goes back.  A copy is deleted only where the other is complete.
-Between steps 2 and 3 a reader sees the month without the old rows or with a part of the new ones.
+Between steps 2 and 3 a reader of ``swap_months`` sees the month without the old rows or with a part of the new ones.
+
+``replace_months``, which maintenance uses, switches a view instead (``sinks.views``): its readers never see a part.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from odmeter.schemas import MONTH
+from odmeter.sinks.views import collect_retired, current_views, repair_views, switch_months
 from odmeter.sources.files import list_landing, month_folder, read_landing
 from odmeter.sources.paths import Folder, existing
 
@@ -79,6 +82,7 @@ def swap_months(
     expected_rows: dict[str, int],
     read_files: dict[str, MonthFiles],
     retire: dict[str, list[str]] | None = None,
+    folder: Folder | None = None,
 ) -> None:
     """Moves staged files in and the files that were read out, month by month, after checking all of them.
 
@@ -88,8 +92,31 @@ def swap_months(
 
     File names of one month at a time are on the driver.
     """
+    folder = folder or Folder(spark, landing)
+    going_of = files_to_retire(spark, landing, expected_rows, read_files, retire, folder)
+    for month, going in going_of.items():
+        live, backup, new = (month_folder(root, month) for root in (landing, _backup_root(landing), staging_root(landing)))
+        coming = folder.sizes(new)
+        folder.write(f"{backup}/{INTENT}", json.dumps({"old": going, "new": coming}))
+        for name in going:
+            folder.move(f"{live}/{name}", f"{backup}/{name}")
+        for name in coming:
+            folder.move(f"{new}/{name}", f"{live}/{name}")
+        folder.write(f"{backup}/{DONE}", "")
+        folder.delete(backup)
+    folder.delete(staging_root(landing))
+
+
+def files_to_retire(
+    spark: SparkSession,
+    landing: str,
+    expected_rows: dict[str, int],
+    read_files: dict[str, MonthFiles],
+    retire: dict[str, list[str]] | None,
+    folder: Folder,
+) -> dict[str, dict[str, int]]:
+    """Names and sizes of the files that go, by month; ``ReplaceRefused`` if staged rows or read files are not as expected."""
     months = sorted(expected_rows)
-    folder = Folder(spark, landing)
     # Listed before the check: what arrives after the list makes the check fail, or stays.
     old = {m: folder.sizes(month_folder(landing, m)) for m in months}
     staged = read_landing(spark, staging_root(landing), months).groupBy("year", "month").agg(F.count(F.lit(1)).alias("n"))
@@ -102,18 +129,9 @@ def swap_months(
     if changed:
         raise ReplaceRefused(f"files came or went since the months were read: {changed}")
 
-    for month in months:
-        live, backup, new = (month_folder(root, month) for root in (landing, _backup_root(landing), staging_root(landing)))
-        going = old[month] if retire is None else {n: old[month][n] for n in retire[month]}
-        coming = folder.sizes(new)
-        folder.write(f"{backup}/{INTENT}", json.dumps({"old": going, "new": coming}))
-        for name in going:
-            folder.move(f"{live}/{name}", f"{backup}/{name}")
-        for name in coming:
-            folder.move(f"{new}/{name}", f"{live}/{name}")
-        folder.write(f"{backup}/{DONE}", "")
-        folder.delete(backup)
-    folder.delete(staging_root(landing))
+    hidden = {m: v.hidden for m, v in current_views(spark, landing, months).items()}
+    seen = {m: {n: size for n, size in old[m].items() if n not in hidden.get(m, ())} for m in months}
+    return seen if retire is None else {m: {n: old[m][n] for n in retire[m]} for m in months}
 
 
 def replace_months(
@@ -123,10 +141,21 @@ def replace_months(
     read_files: dict[str, MonthFiles],
     max_records: int | None = None,
     retire: dict[str, list[str]] | None = None,
+    keep_old: bool = False,
+    folder: Folder | None = None,
 ) -> None:
-    """Replaces the months of ``rows``, or the files ``retire`` of them: stage, verify, swap."""
+    """Replaces the months of ``rows``, or the files ``retire`` of them: stage, verify, switch the view.
+
+    Readers see a month's old rows or its new ones.  ``keep_old`` leaves the old files, hidden, for ``views.collect_retired``: give it where
+    readers may be under way.
+    """
+    spark = rows.sparkSession
     stage_months(rows, landing, max_records)
-    swap_months(rows.sparkSession, landing, expected_rows, read_files, retire)
+    folder = folder or Folder(spark, landing)
+    going = files_to_retire(spark, landing, expected_rows, read_files, retire, folder)
+    switch_months(spark, landing, staging_root(landing), going, folder)
+    if not keep_old:
+        collect_retired(spark, landing, sorted(going))
 
 
 def repair(spark: SparkSession, landing: str) -> list[str]:
@@ -136,7 +165,7 @@ def repair(spark: SparkSession, landing: str) -> list[str]:
     """
     folder = Folder(spark, landing)
     backups = _backup_root(landing)
-    touched = []
+    touched = repair_views(spark, landing)
     for year in folder.names(backups):
         for month in folder.names(f"{backups}/{year}"):
             place = f"{year}/{month}"

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import io
 import re
+from collections.abc import Callable
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -18,6 +19,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from odmeter.functions import columns as C
 from odmeter.plans.work import MonthTask
 from odmeter.schemas import KEY, LANDING, MONTH, OD, PAIR, require_columns
+from odmeter.sinks.views import current_views, hide
 from odmeter.sources.paths import Folder, existing
 
 MONTH_NAME = re.compile(r"\d{4}-\d{2}")
@@ -230,13 +232,34 @@ def read_landing(
 ) -> DataFrame:
     """The landing table, or some of its months; only those directories are listed.
 
-    The schema is explicit: ``month=01`` stays text, and a column that old files lack is NULL.
+    The schema is explicit: ``month=01`` stays text, and a column that old files lack is NULL.  Of a month that is being
+    replaced by ``sinks.views`` all old or all new rows are there.
     """
-    paths = [landing] if months is None else [month_folder(landing, m) for m in months]
-    found = existing(spark, paths)
-    if not found:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", landing).parquet(*found)
+
+    def listed() -> DataFrame:
+        paths = [landing] if months is None else [month_folder(landing, m) for m in months]
+        found = existing(spark, paths)
+        if not found:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).option("basePath", landing).parquet(*found)
+
+    return seen(spark, landing, months, listed)
+
+
+def seen(
+    spark: SparkSession, landing: str, months: list[str] | None, listed: Callable[[], DataFrame], file_path: str = "_metadata.file_path"
+) -> DataFrame:
+    """What ``listed`` makes of the landed files, without hidden ones.
+
+    Files are listed when the DataFrame is made.  If a view has changed meanwhile they are listed again.
+    """
+    views = current_views(spark, landing, months)
+    while True:
+        rows = listed()
+        now = current_views(spark, landing, months)
+        if now == views:
+            return hide(rows, views, file_path)
+        views = now
 
 
 def landed_schema(spark: SparkSession, landing: str, months: list[str]) -> StructType:
@@ -258,7 +281,8 @@ def list_landing(spark: SparkSession, landing: str, months: list[str]) -> DataFr
     found = existing(spark, [month_folder(landing, m) for m in months])
     path = F.col("file_path")
     month = F.concat_ws("-", F.regexp_extract(path, r"year=(\d{4})/", 1), F.regexp_extract(path, r"month=(\d{2})/", 1))
-    return list_files(spark, found, PARQUET_ONLY).withColumn(MONTH, month)
+    listed = seen(spark, landing, months, lambda: list_files(spark, found, PARQUET_ONLY), "file_path")
+    return listed.withColumn(MONTH, month)
 
 
 def empty_files(spark: SparkSession, paths: list[str], only: Column | None = None) -> DataFrame:
