@@ -29,7 +29,9 @@ from odmeter.sources.files import (
     read_delta,
     read_existing_keys,
     read_landing,
+    stage_scan,
     unread_files,
+    with_rows_read,
 )
 
 # (rows to enrich, rows as scanned) -> rows with distance and duration
@@ -158,9 +160,12 @@ def ingest_batch(
         with_files = [t for t in step if t.month in sizes]
         if with_files:
             scanned = read_delta(spark, source, with_files, options.schema, options.tolerant)
+            scanned = stage_scan(scanned) if options.tolerant else scanned
             existing = read_existing_keys(spark, landing, [t.month for t in with_files])
             write_landing(ingest_rows(scanned, existing, enrich, ctx, options), landing, options.max_records)
         files = delta.where(F.col(MONTH).isin([t.month for t in with_files]))
+        if options.tolerant and with_files:
+            files = with_rows_read(files, scanned)
         commit_months(spark, source, landing, manifest, step, files, set(sizes), ctx, report, options.tolerant)
     if sizes:
         report.quality = quality_counts(landed_by(spark, landing, tasks, ctx)).first().asDict()

@@ -5,12 +5,10 @@ Row order inside a run is (file time, path, row index); all three come from Spar
 
 from __future__ import annotations
 
-import io
 import re
 from collections.abc import Callable
+from urllib.parse import unquote
 
-import pyarrow as pa
-import pyarrow.parquet as pq
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
@@ -20,13 +18,12 @@ from odmeter.functions import columns as C
 from odmeter.plans.work import MonthTask
 from odmeter.schemas import KEY, LANDING, MONTH, OD, PAIR, require_columns
 from odmeter.sinks.views import current_views, hide
-from odmeter.sources.paths import Folder, existing
+from odmeter.session import new_folder
+from odmeter.sources.paths import Folder, existing, footer_rows
 
 MONTH_NAME = re.compile(r"\d{4}-\d{2}")
 MONTH_GLOB = "[0-9][0-9][0-9][0-9]-[0-9][0-9]"
 PARQUET_ONLY = "*.parquet"
-#: A file without rows holds little more than its schema; larger ones without readable rows are damaged.
-EMPTY_FILE_BYTES = 1 << 20
 FILE_COLUMNS = [MONTH, "source_file", "file_path", "file_time", "row_index"]
 _FILE_FACTS = ["_metadata.file_path", "_metadata.file_name", "_metadata.file_size"]
 
@@ -195,16 +192,44 @@ def read_delta(
     return with_file_columns(rows.where(delta_filter(tasks)))
 
 
+def stage_scan(scanned: DataFrame) -> DataFrame:
+    """A tolerant scan written once to the shared folder and read back from there.
+
+    Damaged files are decoded once, as far as they go: rows and what ``rows_read`` counts of each file then always
+    belong together, whatever a second read of the source would have given.
+    """
+    spark = scanned.sparkSession
+    path = new_folder(spark, "scan")
+    scanned.write.parquet(path)
+    return spark.read.schema(scanned.schema).parquet(path)
+
+
+def with_rows_read(files: DataFrame, staged: DataFrame) -> DataFrame:
+    """A listing with ``rows_read``: how many rows of each file a scan that was staged has."""
+    read = staged.groupBy("file_path").agg(F.count(F.lit(1)).alias("rows_read"))
+    return files.join(read, "file_path", "left").withColumn("rows_read", F.coalesce("rows_read", F.lit(0)))
+
+
+def promised_rows(spark: SparkSession, paths: list[str], only: Column | None = None) -> DataFrame:
+    """Rows by file as the footers say; no page is read.  Files without rows and damaged ones have no row here."""
+    rows = _parquet(spark, tolerant=True).schema(OD).parquet(*paths)
+    rows = rows if only is None else rows.where(only)
+    return rows.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(F.count(F.lit(1)).alias("promised"))
+
+
 def unread_files(spark: SparkSession, files: DataFrame, paths: list[str], only: Column | None = None) -> DataFrame:
     """Files of a listing that a tolerant read left out, in whole or in part.
 
-    A file counts as read when the tolerant scan returns as many rows of the needed columns as its footer
-    promises.  Files that have no rows come out too; ``empty_files`` tells them from damaged ones.  ``only`` is
-    the predicate on file metadata that the listing was made with, so that no other file is read.
+    A file counts as read when the tolerant scan has as many rows of it as its footer promises: those of a listing
+    ``with_rows_read``, or of a scan of the needed columns made here.  Files that have no rows come out too; ``empty_files`` tells them
+    from damaged ones.  ``only`` is the predicate on file metadata that the listing was made with, so that no other file is read.
     """
+    promised = promised_rows(spark, paths, only)
+    if "rows_read" in files.columns:
+        whole = files.join(promised, "file_path").where("promised = rows_read")
+        return files.join(whole.select("file_path"), "file_path", "left_anti")
     rows = _parquet(spark, tolerant=True).schema(_found_schema(spark, paths, tolerant=True)).parquet(*paths)
     rows = rows if only is None else rows.where(only)
-    promised = rows.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(F.count(F.lit(1)).alias("promised"))
     read = rows.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(
         F.count(F.lit(1)).alias("read"), F.bit_xor(F.xxhash64(KEY, *PAIR)).alias("_contents")
     )
@@ -286,24 +311,12 @@ def list_landing(spark: SparkSession, landing: str, months: list[str]) -> DataFr
 
 
 def empty_files(spark: SparkSession, paths: list[str], only: Column | None = None) -> DataFrame:
-    """Paths of the files whose Parquet footer says that they have no rows, each decided by itself.
+    """Paths of the files whose Parquet footer says that they have no rows, each decided by its footer alone.
 
-    Files above ``EMPTY_FILE_BYTES`` are not opened.  Only the contents are judged here: an error of the store
-    fails the job, as in any read.
+    Only files of which no row is promised are opened, one after the other, and only their ends are read.  Contents
+    that are no Parquet are not empty; an error of the store fails the job, as in any read.
     """
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", PARQUET_ONLY).option("recursiveFileLookup", True)
-    small = reader.load(paths).where(F.col("length") <= EMPTY_FILE_BYTES)
-    small = small if only is None else small.where(only)
-
-    def without_rows(batches):
-        for batch in batches:
-            empty = []
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                try:
-                    if pq.ParquetFile(io.BytesIO(content)).metadata.num_rows == 0:
-                        empty.append(path)
-                except (pa.ArrowInvalid, OSError):  # no Parquet
-                    continue
-            yield pa.RecordBatch.from_pydict({"file_path": pa.array(empty, pa.string())})
-
-    return small.select(F.col("_metadata.file_path").alias("file_path"), "content").mapInArrow(without_rows, "file_path string")
+    listing = list_files(spark, paths, PARQUET_ONLY, recursive=True, only=only)
+    doubtful = listing.join(promised_rows(spark, paths, only), "file_path", "left_anti")
+    empty = [(path,) for path in (r[0] for r in doubtful.select("file_path").toLocalIterator()) if footer_rows(spark, unquote(path)) == 0]
+    return spark.createDataFrame(empty, "file_path string")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -58,3 +59,18 @@ class Folder:
 def existing(spark: SparkSession, paths: Iterable[str]) -> list[str]:
     """Those of the paths that exist."""
     return [p for p in paths if Folder(spark, p).exists(p)]
+
+
+def footer_rows(spark: SparkSession, path: str) -> int | None:
+    """Rows of a Parquet file as its footer says; None for contents that are no Parquet.  A file that can't be opened raises."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(conf).open(place).close()
+    try:
+        reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(place, conf))
+    except Py4JJavaError:
+        return None
+    try:
+        return reader.getRecordCount()
+    finally:
+        reader.close()

@@ -140,6 +140,32 @@ def test_empty_file_is_not_damaged(spark, source):
     assert values(unread.join(empty, "file_path", "left_anti"), "file_name") == [("broken.parquet",)]
 
 
+def test_tolerant_scan_decodes_the_source_once(spark, source):
+    path = write_file(spark, source, "2025-01", "damaged.parquet", [f"key-{i}" for i in range(5000)])
+    data = bytearray(open(path, "rb").read())
+    data[4:400] = b"\xff" * 396
+    open(path, "wb").write(data)
+    paths = [files.month_glob(source)]
+    staged = files.stage_scan(files.read_od_months(spark, source, schema=OD, tolerant=True))
+    listing = files.with_rows_read(files.list_files(spark, paths, files.PARQUET_ONLY), staged)
+    unread = files.unread_files(spark, listing, paths)
+    assert values(unread, "file_name") == [("damaged.parquet",)]
+    # of the source only footers are read: no column of it is decoded
+    schemas = [line for line in plan_of(unread).split("FileScan parquet")[1:] if "/scan-" not in line]
+    assert schemas and all("ReadSchema: struct<>" in line for line in schemas)
+
+
+def test_large_file_without_rows_is_empty(spark, source, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    wide = pa.schema([(f"column_{k:06d}_{'x' * 40}", pa.string()) for k in range(12_000)])
+    path = f"{source}/2025-01/wide.parquet"
+    pq.write_table(wide.empty_table(), path)
+    assert os.path.getsize(path) > 1 << 20
+    assert [os.path.basename(r[0]) for r in files.empty_files(spark, [files.month_glob(source)]).collect()] == ["wide.parquet"]
+
+
 def landing_frame(spark, *rows):
     return spark.createDataFrame(rows, LANDING)
 
