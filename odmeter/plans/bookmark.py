@@ -19,6 +19,8 @@ CURRENT = "INCREMENTAL_CURRENT"
 PREVIOUS = "INCREMENTAL_PREVIOUS"
 SKIP = "SKIP"
 STREAM = "STREAM"
+#: a file of a month that is read in units and not yet complete; it neither closes the month nor moves its checkpoint
+PART = "PART"
 
 
 def bookmark_state(manifest: DataFrame) -> DataFrame:
@@ -28,7 +30,7 @@ def bookmark_state(manifest: DataFrame) -> DataFrame:
     file time of the other commits from then on, so a lower time changes nothing.
     """
     historical = F.col("mode") == HISTORICAL
-    per_run = manifest.groupBy(MONTH, "mode", "run_ts").agg(F.max("file_time").alias("file_time"))
+    per_run = manifest.where(F.col("mode") != PART).groupBy(MONTH, "mode", "run_ts").agg(F.max("file_time").alias("file_time"))
     closed = F.max(F.when(historical, F.col("run_ts"))).over(Window.partitionBy(MONTH))
     open_since = ~historical & (F.col("_closed").isNull() | (F.col("run_ts") >= F.col("_closed")))
     return (
@@ -107,5 +109,9 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_manifest(rows: DataFrame, path: str) -> None:
-    """Appends commit rows; call it only after the data of the same files has been written."""
-    rows.select(*MANIFEST.fieldNames()).hint("rebalance").write.mode("append").parquet(path)
+    """Appends commit rows; call it only after the data of the same files has been written.
+
+    Columns of the manifest that ``rows`` lacks are NULL.
+    """
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in MANIFEST if f.name not in rows.columns}
+    rows.withColumns(absent).select(*MANIFEST.fieldNames()).hint("rebalance").write.mode("append").parquet(path)

@@ -6,7 +6,8 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -14,9 +15,9 @@ from odmeter.context import RunContext
 from odmeter.operators import clean
 from odmeter.operators.dedupe import SOURCE_ORDER, dedupe_batch_against, dedupe_within_file
 from odmeter.operators.enrich import Route, enrich_geodesic, enrich_routes, enrich_with
-from odmeter.plans.bookmark import HISTORICAL, append_manifest, bookmark_state, read_manifest
-from odmeter.plans.work import MonthTask, collect_tasks, plan_work
-from odmeter.reports.quality import quality_counts, throughput
+from odmeter.plans.bookmark import HISTORICAL, PART, append_manifest, bookmark_state, read_manifest
+from odmeter.plans.work import FileUnit, MonthTask, collect_tasks, file_units, plan_work
+from odmeter.reports.quality import quality_measures, throughput
 from odmeter.schemas import LANDING, MONTH
 from odmeter.session import cut_lineage
 from odmeter.sinks.landing import BLOCK_ROWS, write_landing
@@ -52,7 +53,7 @@ def by_provider(connect: Callable[[], Route], callers: int, **options) -> Enrich
     return lambda rows, scanned: enrich_with(rows, connect, callers, **options)
 
 
-# Source bytes after which a run commits what it has landed; a larger month is one step.
+# Source bytes after which a run commits what it has landed; a larger month is read in units of its files.
 COMMIT_BYTES = 256 << 30
 
 
@@ -63,6 +64,7 @@ class IngestOptions:
     schema         types of the source columns; by default those of the files
     commit_bytes   months are landed and committed in steps of about so many source bytes, so that a run that is
                    cut off goes on after its last step
+    unit_bytes     a month above so many source bytes is read in units of its files, each committed by itself
     """
 
     years: list[str] | None = None
@@ -74,6 +76,7 @@ class IngestOptions:
     tolerant: bool = False
     schema: StructType | None = None
     commit_bytes: int = COMMIT_BYTES
+    unit_bytes: int = COMMIT_BYTES
     max_records: int | None = BLOCK_ROWS
 
 
@@ -156,24 +159,107 @@ def ingest_batch(
 
     delta = list_delta(spark, source, tasks)
     sizes = {r[MONTH]: r["size"] for r in delta.groupBy(MONTH).agg(F.sum("file_size").alias("size")).collect()}
+    counts = RunCounts()
     for step in commit_steps(tasks, sizes, options.commit_bytes):
         with_files = [t for t in step if t.month in sizes]
-        if with_files:
-            scanned = read_delta(spark, source, with_files, options.schema, options.tolerant)
-            scanned = stage_scan(scanned) if options.tolerant else scanned
-            existing = read_existing_keys(spark, landing, [t.month for t in with_files])
-            write_landing(ingest_rows(scanned, existing, enrich, ctx, options), landing, options.max_records)
+        if len(with_files) == 1 == len(step) and sizes[step[0].month] > options.unit_bytes:
+            _ingest_units(spark, source, landing, manifest, step[0], ctx, enrich, options, report, counts)
+            continue
         files = delta.where(F.col(MONTH).isin([t.month for t in with_files]))
-        if options.tolerant and with_files:
-            files = with_rows_read(files, scanned)
+        if with_files:
+            files = _land(spark, source, landing, with_files, files, ctx, enrich, options, counts)
         commit_months(spark, source, landing, manifest, step, files, set(sizes), ctx, report, options.tolerant)
     if sizes:
-        report.quality = quality_counts(landed_by(spark, landing, tasks, ctx)).first().asDict()
-        report.rows = report.quality["rows"]
+        report.quality, report.rows = counts.totals, counts.totals["rows"]
     report.seconds = time.monotonic() - started
     return report
 
 
+class RunCounts:
+    """Rows, missing and zero distances of a run, seen as they are written."""
+
+    def __init__(self):
+        self.totals = {"rows": 0, "nan_distances": 0, "zero_distances": 0}
+
+    def write(self, rows: DataFrame, landing: str, max_records: int | None) -> None:
+        seen = Observation()
+        write_landing(rows.observe(seen, *quality_measures()), landing, max_records)
+        for name, value in _observed(seen).items():
+            self.totals[name] += value or 0
+
+
+def _observed(seen: Observation) -> dict:
+    """What was observed; nothing where Spark has found at run time that there is no row and has dropped the plan with its measures."""
+    try:
+        return seen.get
+    except Py4JJavaError as problem:
+        if "toPyRow" not in str(problem):
+            raise
+        return {}
+
+
+def _land(
+    spark: SparkSession,
+    source: str,
+    landing: str,
+    tasks: list[MonthTask],
+    files: DataFrame,
+    ctx: RunContext,
+    enrich: Enrich,
+    options: IngestOptions,
+    counts: RunCounts,
+    unit: FileUnit | None = None,
+) -> DataFrame:
+    """Reads, prepares and appends the rows of some months, or of a unit; returns the listing, after a tolerant read with ``rows_read``."""
+    scanned = read_delta(spark, source, tasks, options.schema, options.tolerant, unit)
+    if options.tolerant:
+        scanned = stage_scan(scanned)
+        files = with_rows_read(files, scanned)
+    existing = read_existing_keys(spark, landing, [t.month for t in tasks])
+    counts.write(ingest_rows(scanned, existing, enrich, ctx, options), landing, options.max_records)
+    return files
+
+
+def _ingest_units(
+    spark: SparkSession,
+    source: str,
+    landing: str,
+    manifest: str,
+    task: MonthTask,
+    ctx: RunContext,
+    enrich: Enrich,
+    options: IngestOptions,
+    report: IngestReport,
+    counts: RunCounts,
+) -> None:
+    """One large month in units of its files, in order; each is committed before the next is read.
+
+    Files that an earlier run has committed as parts, unchanged, are left out.  A historical month is closed when all of its files are
+    in; an incremental one moves its checkpoint with each unit.  A unit with an unreadable file ends the month's turn.
+    """
+    done = read_manifest(spark, manifest).where((F.col(MONTH) == task.month) & (F.col("mode") == PART))
+    files = list_delta(spark, source, [task])
+    todo = cut_lineage(files.join(done.select("file_path", "file_time").distinct(), ["file_path", "file_time"], "left_anti"))
+    part = MonthTask(task.month, PART if task.mode == HISTORICAL else task.mode, task.checkpoint_us)
+    for unit in file_units(todo, options.unit_bytes):
+        place = F.struct(F.unix_micros("file_time").alias("t"), F.col("file_path").alias("p"))
+        first, last = (F.struct(F.lit(t).cast("bigint").alias("t"), F.lit(p).alias("p")) for t, p in (unit.first, unit.last))
+        own = todo.where((place >= first) & (place <= last))
+        own = _land(spark, source, landing, [task], own, ctx, enrich, options, counts, unit)
+        commit_months(spark, source, landing, manifest, [part], own, {task.month}, ctx, report, options.tolerant)
+        if task.month in report.held_back:
+            break
+    else:
+        if task.mode == HISTORICAL:
+            close_months(spark, manifest, [task], ctx)
+
+
+def close_months(spark: SparkSession, manifest: str, tasks: list[MonthTask], ctx: RunContext) -> None:
+    """Marks historical months as complete whose files are all committed as parts."""
+    markers = spark.createDataFrame([(t.month, HISTORICAL, ctx.run_ts) for t in tasks], f"{MONTH} string, mode string, run_ts string")
+    append_manifest(markers, manifest)
+
+
 def commit_steps(tasks: list[MonthTask], sizes: dict[str, int], commit_bytes: int) -> list[list[MonthTask]]:
     """The queue cut, in order, where a step has reached ``commit_bytes``; at least one month each."""
     steps: list[list[MonthTask]] = [[]]

@@ -25,6 +25,35 @@ class MonthTask:
         return self.mode in (CURRENT, PREVIOUS)
 
 
+@dataclass(frozen=True)
+class FileUnit:
+    """A run of a month's files in order of (file time in microseconds, path), both ends included."""
+
+    month: str
+    first: tuple[int, str]
+    last: tuple[int, str]
+    closes: bool
+
+
+def file_units(files: DataFrame, unit_bytes: int) -> list[FileUnit]:
+    """The files of a listing in units of about ``unit_bytes``, month by month, in order of time and path.
+
+    Files of one time stay together, because a checkpoint is a time.  A month's listing is numbered in a window; only the ends of the units
+    come to the driver.
+    """
+    order = Window.partitionBy(MONTH).orderBy("file_time")
+    before = F.sum("file_size").over(order.rangeBetween(Window.unboundedPreceding, Window.currentRow)) - F.sum("file_size").over(
+        Window.partitionBy(MONTH, "file_time")
+    )
+    placed = files.withColumn("unit", F.floor(before / F.lit(unit_bytes)))
+    place = F.struct(F.unix_micros("file_time").alias("t"), F.col("file_path").alias("p"))
+    ends = placed.groupBy(MONTH, "unit").agg(F.min(place).alias("first"), F.max(place).alias("last")).orderBy(MONTH, "unit").collect()
+    return [
+        FileUnit(r[MONTH], tuple(r["first"]), tuple(r["last"]), after is None or after[MONTH] != r[MONTH])
+        for r, after in zip(ends, [*ends[1:], None])
+    ]
+
+
 def with_mode(
     months: DataFrame,
     state: DataFrame,

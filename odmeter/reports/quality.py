@@ -12,13 +12,18 @@ from odmeter.schemas import MONTH
 SUCCESS = "success"
 
 
-def quality_counts(df: DataFrame, by: list[str] = ()) -> DataFrame:
-    """Rows, missing distances and zero distances."""
-    return df.groupBy(*by).agg(
+def quality_measures() -> list[Column]:
+    """Rows, missing distances and zero distances, for an aggregate or for ``observe``."""
+    return [
         F.count(F.lit(1)).alias("rows"),
         F.count_if(C.missing(F.col("distance"))).alias("nan_distances"),
         F.count_if(F.col("distance") == 0).alias("zero_distances"),
-    )
+    ]
+
+
+def quality_counts(df: DataFrame, by: list[str] = ()) -> DataFrame:
+    """Rows, missing distances and zero distances."""
+    return df.groupBy(*by).agg(*quality_measures())
 
 
 def volume_by_month(df: DataFrame, file_col: str = "source_file") -> DataFrame:

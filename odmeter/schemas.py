@@ -49,6 +49,7 @@ MANIFEST = _struct(
     mode=StringType(),
     rows=LongType(),
     run_ts=StringType(),
+    batch=StringType(),
 )
 
 BOOKMARK = _struct(

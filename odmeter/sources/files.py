@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from odmeter.functions import columns as C
-from odmeter.plans.work import MonthTask
+from odmeter.plans.work import FileUnit, MonthTask
 from odmeter.schemas import KEY, LANDING, MONTH, OD, PAIR, require_columns
 from odmeter.sinks.views import current_views, hide
 from odmeter.session import new_folder
@@ -174,6 +174,14 @@ def delta_filter(tasks: list[MonthTask]) -> Column:
     return wanted
 
 
+def unit_filter(unit: FileUnit) -> Column:
+    """Predicate on file metadata: the files of a month from the unit's first to its last, in order of time and path."""
+    path, time = F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")
+    place = F.struct(F.unix_micros(time).alias("t"), path.alias("p"))
+    first, last = (F.struct(F.lit(t).cast("bigint").alias("t"), F.lit(p).alias("p")) for t, p in (unit.first, unit.last))
+    return (C.month_of_path(path) == unit.month) & (place >= first) & (place <= last)
+
+
 def list_delta(spark: SparkSession, root: str, tasks: list[MonthTask]) -> DataFrame:
     """Listing of the Parquet files that the queue has to read."""
     paths = [f"{root}/{t.month}" for t in tasks]
@@ -186,10 +194,14 @@ def read_delta(
     tasks: list[MonthTask],
     schema: StructType | None = None,
     tolerant: bool = False,
+    unit: FileUnit | None = None,
 ) -> DataFrame:
-    """Rows of the files newer than each month's checkpoint (strictly); all files of historical months."""
-    rows = _od_reader(spark, [f"{root}/{t.month}" for t in tasks], schema, tolerant)
-    return with_file_columns(rows.where(delta_filter(tasks)))
+    """Rows of the files newer than each month's checkpoint (strictly); all files of historical months.
+
+    With ``unit`` only those of its files.
+    """
+    rows = _od_reader(spark, [f"{root}/{t.month}" for t in tasks], schema, tolerant).where(delta_filter(tasks))
+    return with_file_columns(rows if unit is None else rows.where(unit_filter(unit)))
 
 
 def stage_scan(scanned: DataFrame) -> DataFrame:

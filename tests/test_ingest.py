@@ -330,3 +330,68 @@ def test_stream_restart_picks_up_only_new_files_also_late_ones(store):
     store.stream("2025-12-03", checkpoint="fresh")
     assert len(store.landed()) == 6
     assert store.state()["2025-11"] == (False, True)
+
+
+def test_large_month_goes_on_inside_after_a_crash(store):
+    """Historical and current month in units of one file; the run dies at its third unit and later goes on there."""
+    for k in range(4):
+        store.put("2025-11", f"c{k}.parquet", [f"n{k}", "k1", f"n{k - 1}"], DEC_1 - 3 * DAY + k)
+        store.put("2025-12", f"c{k}.parquet", [f"d{k}", "k1", f"d{k - 1}"], DEC_1 + 10 + k)
+    store.put("2025-12", "same.parquet", ["s1"], DEC_1 + 12)  # a file of the same time as another stays with it
+    asked, plain = [], ingest.by_estimate()
+
+    def dies_at(number):
+        def enrich(rows, scanned):
+            asked.append(sorted(r[0] for r in scanned.select("file_path").distinct().collect()))
+            if len(asked) == number:
+                raise OSError("killed")
+            return plain(rows, scanned)
+
+        return enrich
+
+    for number in (3, 9):
+        with pytest.raises(OSError):
+            store.run("2025-12-03", dies_at(number), commit_bytes=1, unit_bytes=1)
+        assert store.state().get("2025-11", (False,))[0] is (number == 9)
+    report = store.run("2025-12-03", dies_at(0), commit_bytes=1, unit_bytes=1)
+    assert report.rows > 0 and report.committed == ["2025-12"]
+    names = [os.path.basename(p) for unit in asked for p in unit]
+    # every file but those of the two units that died was read once
+    assert len(names) == len({p for unit in asked for p in unit}) + len(asked[2]) + len(asked[8])
+    assert [len(u) for u in asked].count(2) == 1
+    whole = Store(store.spark, f"{store.landing}_whole")
+    whole.source = store.source
+    whole.run("2025-12-03")
+    columns = ("year", "month", KEY, "source_file", "distance")
+    assert store.landed(*columns) == whole.landed(*columns)
+    assert store.state() == whole.state() == {"2025-11": (True, False), "2025-12": (False, True)}
+    assert store.run("2025-12-03", commit_bytes=1, unit_bytes=1).rows == 0
+
+
+def test_run_counts_come_from_the_write(store, monkeypatch):
+    """No scan of the landing table counts rows: what is written is observed."""
+    monkeypatch.setattr("odmeter.reports.quality.quality_counts", lambda *a: pytest.fail("counted again"))
+    report = store.run("2025-12-01")
+    assert report.quality == {"rows": 5, "nan_distances": 0, "zero_distances": 5} and report.rows == 5
+
+
+@pytest.mark.parametrize("lost", ["commit", "manifest"])
+def test_replayed_batch_commits_once(store, monkeypatch, lost):
+    """The driver dies after the manifest was written, or after the rows were: the batch comes again."""
+    from odmeter.streaming import ingest as streaming
+
+    if lost == "manifest":
+        monkeypatch.setattr(streaming, "append_manifest", lambda *a: (_ for _ in ()).throw(OSError("killed")))
+        with pytest.raises(Exception, match="killed"):
+            store.stream("2025-12-02")
+        monkeypatch.undo()
+    else:
+        store.stream("2025-12-02")
+        commits = f"{store.landing}_stream/commits"
+        for name in os.listdir(commits):
+            os.remove(f"{commits}/{name}")
+    store.stream("2025-12-05")
+    manifest = bookmark.read_manifest(store.spark, store.manifest)
+    assert values(manifest, MONTH, "rows") == [("2025-11", 1), ("2025-11", 2), ("2025-12", 2)]
+    assert manifest.select("batch").distinct().count() == 3
+    assert store.landed() == sorted(NOV + DEC, key=repr)
