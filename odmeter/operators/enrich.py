@@ -8,10 +8,9 @@
 from __future__ import annotations
 
 import time
+from datetime import datetime, timezone
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
-from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -20,11 +19,11 @@ from pyspark.sql import functions as F
 
 from odmeter.functions import columns as C
 from odmeter.operators.lookup import key_counts, lookup_join
+from odmeter.operators.route_index import GRID, RouteIndex, index_of, with_grid
 from odmeter.schemas import PAIR
-from odmeter.session import cut_lineage, ship_package
+from odmeter.session import cut_lineage, new_folder, ship_package, stage
 from odmeter.sources.paths import existing
 
-_GRID = [f"_grid_{c}" for c in PAIR]
 ANSWERS = ["distance", "duration", "route_match"]
 
 # Attempts per pair, first waiting time in seconds, and the texts that decide.
@@ -44,40 +43,49 @@ def enrich_geodesic(df: DataFrame, speed_mps: float = 8.0, detour: float = 1.3)
     )
 
 
-def _with_grid(df: DataFrame) -> DataFrame:
-    return df.withColumns({g: C.grid_cell(F.col(c)) for g, c in zip(_GRID, PAIR, strict=True)})
+def pair_counts(df: DataFrame) -> DataFrame:
+    """Distinct complete pairs and how many rows hold each of them (``n``)."""
+    return df.where(~C.any_missing(PAIR)).groupBy(*PAIR).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _best_route(routes: DataFrame, on: list[str], name: str) -> DataFrame:
-    """One route per key: lowest distance, then lowest duration."""
-    best = F.min(F.struct("distance", "duration"))
-    return routes.where(~C.missing(F.col("distance"))).groupBy(*on).agg(best.alias(name))
+def od_pairs(df: DataFrame) -> DataFrame:
+    """``pair_counts``, written once, so that later uses don't aggregate the rows again."""
+    return stage(pair_counts(df), "pairs")
 
 
-def od_pairs(df: DataFrame) -> DataFrame:
-    """Distinct complete pairs and how many rows hold each of them (``n``).
+def _looked_up(pairs: DataFrame, index: RouteIndex) -> DataFrame:
+    """Pairs with their exact route, written once: what follows reads it several times."""
+    return stage(index.join_exact(pairs), "pairs")
+
 
-    They are written once: the look-up of exact and rounded pairs and the counts of hot ones then read
-    them instead of aggregating the rows again.
+def _answers(looked_up: DataFrame, index: RouteIndex, columns: list[str]) -> DataFrame:
+    """Distance, duration and match of looked-up pairs; those without an exact route go on to the grid.
+
+    They are looked up by cell, each cell once, and cells that many pairs share are split where the answers go back to the pairs.
     """
-    return cut_lineage(df.where(~C.any_missing(PAIR)).groupBy(*PAIR).agg(F.count(F.lit(1)).alias("n")))
+    found = looked_up.where(F.col("_distance").isNotNull())
+    rest = with_grid(looked_up.where(F.col("_distance").isNull()).select(*columns))
+    cells = key_counts(rest, GRID)
+    on_grid = lookup_join(rest, cells.join(index.near, GRID), GRID, ["_distance", "_duration"], counts=cells, spread_by=PAIR)
 
+    def answered(some: DataFrame, match: str) -> DataFrame:
+        known = F.when(F.col("_distance").isNotNull(), match).otherwise("no_route")
+        return some.select(*columns, F.col("_distance").alias("distance"), F.col("_duration").alias("duration"), known.alias("route_match"))
 
-def resolve_pairs(pairs: DataFrame, routes: DataFrame) -> DataFrame:
-    """Adds ``distance``, ``duration`` and ``route_match`` (exact, rounded, no_route) to distinct pairs.
+    return answered(found, "exact").unionByName(answered(on_grid, "rounded"))
 
-    Only pairs without an exact route go on to the second look-up, on the grid.
-    """
-    looked_up = cut_lineage(pairs.join(_best_route(routes, PAIR, "_route"), PAIR, "left"))
-    rest = _with_grid(looked_up.where(F.col("_route").isNull()).drop("_route"))
-    near = _best_route(_with_grid(routes), _GRID, "_route").where(reduce(and_, [F.col(g).isNotNull() for g in _GRID]))
-    on_grid = lookup_join(rest, near, _GRID, ["_route"], counts=key_counts(rest, _GRID), spread_by=PAIR)
 
-    def answered(found: DataFrame, match: str) -> DataFrame:
-        known = F.when(F.col("_route").isNotNull(), match).otherwise("no_route")
-        return found.select(*pairs.columns, "_route.distance", "_route.duration", known.alias("route_match"))
+def _index(routes: DataFrame | RouteIndex) -> RouteIndex:
+    return routes if isinstance(routes, RouteIndex) else index_of(routes)
 
-    return answered(looked_up.where(F.col("_route").isNotNull()), "exact").unionByName(answered(on_grid, "rounded"))
+
+def resolve_pairs(pairs: DataFrame, routes: DataFrame | RouteIndex) -> DataFrame:
+    """Adds ``distance``, ``duration`` and ``route_match`` (exact, rounded, no_route) to distinct pairs.
+
+    ``routes`` is a route table, or one that ``route_index`` has prepared.
+    """
+    index = _index(routes)
+    return _answers(_looked_up(pairs, index), index, pairs.columns)
 
 
 def _attach(df: DataFrame, resolved: DataFrame, counts: DataFrame, answers: list[str] = ANSWERS) -> DataFrame:
@@ -88,20 +96,21 @@ def _attach(df: DataFrame, resolved: DataFrame, counts: DataFrame, answers: list
     return found.withColumn("route_match", reason)
 
 
-def enrich_routes(df: DataFrame, routes: DataFrame, pairs_of: DataFrame | None = None) -> DataFrame:
+def enrich_routes(df: DataFrame, routes: DataFrame | RouteIndex, pairs_of: DataFrame | None = None) -> DataFrame:
     """Adds ``distance``, ``duration`` and ``route_match``; every input row comes out once.
 
     Routes are looked up per distinct pair, and the rows are joined to the answers once.
     ``pairs_of`` may name any table that holds at least the pairs of ``df``, such as the scan before
     de-duplication: the pair branch then does not repeat the window over ``df``.
     """
-    pairs = od_pairs(df if pairs_of is None else pairs_of)
-    return _attach(df, resolve_pairs(pairs.drop("n"), routes), pairs)
+    index = _index(routes)
+    looked_up = _looked_up(pair_counts(df if pairs_of is None else pairs_of), index)
+    return _attach(df, _answers(looked_up, index, PAIR), looked_up.select(*PAIR, "n"))
 
 
-def distinct_od_pairs(df: DataFrame, routes: DataFrame | None = None) -> DataFrame:
+def distinct_od_pairs(df: DataFrame, routes: DataFrame | RouteIndex | None = None) -> DataFrame:
     """Distinct complete pairs without a route: the work list for whoever fills the route table."""
-    pairs = od_pairs(df).drop("n")
+    pairs = pair_counts(df).select(*PAIR)
     if routes is None:
         return pairs
     return resolve_pairs(pairs, routes).where("route_match = 'no_route'").select(*PAIR)
@@ -163,7 +172,8 @@ def ask_routes(
     that raises on failure and may be called from several threads.  ``callers`` tasks ask at the same time, each with ``in_flight`` requests.
     The answers are checkpointed, so that no pair is asked again by later use of the result.  With
     ``store``, a folder, they are appended there instead, ``pairs_per_commit`` pairs at a time, and pairs that it holds
-    are not asked: a run that was cut off goes on where it stopped.  Pairs that failed for want of retries are asked again.
+    are not asked: a run that was cut off goes on where it stopped.  Pairs that failed for want of retries are asked again; answers carry
+    the time of asking, and the latest good one counts.
     """
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -188,25 +198,36 @@ def ask_routes(
     wanted = pairs.select(*PAIR)
     if store is None:
         return cut_lineage(answers(wanted))
-    wanted = cut_lineage(wanted)
-    todo = cut_lineage(wanted.join(stored_answers(spark, store), PAIR, "left_anti"))
+    wanted = stage(wanted, "wanted")
+    todo = stage(wanted.join(stored_answers(spark, store), PAIR, "left_anti"), "todo")
     steps = -(-todo.count() // pairs_per_commit)
-    for step in range(steps):
-        part = todo.where(F.pmod(F.xxhash64(*PAIR), F.lit(steps)) == step)
-        answers(part).write.mode("append").parquet(store)
-    kept = spark.read.schema(_ANSWER).parquet(store) if existing(spark, [store]) else spark.createDataFrame([], _ANSWER)
-    # of several answers to a pair the latest good one: failed ones have been asked again
+    if steps:
+        # the work list lies on disk by step, so that a step reads its own part and no other
+        work = new_folder(spark, "work")
+        step = F.pmod(F.xxhash64(*PAIR), F.lit(steps)).alias("step")
+        todo.select(*PAIR, step).repartition("step").write.partitionBy("step").parquet(work)
+        # a step that no pair has fallen to has no folder
+        for part in existing(spark, [f"{work}/step={k}" for k in range(steps)]):
+            asked_at = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f")
+            some = spark.read.schema(todo.schema).parquet(part)
+            answers(some).withColumn("asked_at", F.lit(asked_at)).write.mode("append").parquet(store)
+    kept = _kept_answers(spark, store)
+    # of several answers to a pair the latest good one; without a good one the latest
     good = F.col("route_match") != "retries_exhausted"
-    best = kept.groupBy(*PAIR).agg(F.max(F.struct(good.alias("good"), "distance", "duration", "attempts", "route_match")).alias("a"))
+    answer = F.struct("distance", "duration", "attempts", "route_match")
+    best = kept.groupBy(*PAIR).agg(F.max_by(answer, F.struct(good, F.coalesce("asked_at", F.lit("")))).alias("a"))
     return wanted.join(best, PAIR).select(*PAIR, "a.distance", "a.duration", "a.attempts", "a.route_match")
 
 
+def _kept_answers(spark: SparkSession, store: str) -> DataFrame:
+    """All answers of a store; ``asked_at`` is NULL in stores that are older than it."""
+    schema = f"{_ANSWER}, asked_at string"
+    return spark.read.schema(schema).parquet(store) if existing(spark, [store]) else spark.createDataFrame([], schema)
+
+
 def stored_answers(spark: SparkSession, store: str) -> DataFrame:
     """Pairs that a store of answers need not be asked for again."""
-    if not existing(spark, [store]):
-        return spark.createDataFrame([], _ANSWER).select(*PAIR)
-    kept = spark.read.schema(_ANSWER).parquet(store)
-    return kept.where("route_match <> 'retries_exhausted'").select(*PAIR).distinct()
+    return _kept_answers(spark, store).where("route_match <> 'retries_exhausted'").select(*PAIR).distinct()
 
 
 def enrich_with(
@@ -215,7 +236,7 @@ def enrich_with(
     callers: int,
     in_flight: int = 30,
     max_retries: int = MAX_RETRIES,
-    routes: DataFrame | None = None,
+    routes: DataFrame | RouteIndex | None = None,
     store: str | None = None,
     pairs_per_commit: int = PAIRS_PER_COMMIT,
 ) -> DataFrame:

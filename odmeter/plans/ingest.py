@@ -13,8 +13,9 @@ from pyspark.sql.types import StructType
 
 from odmeter.context import RunContext
 from odmeter.operators import clean
-from odmeter.operators.dedupe import SOURCE_ORDER, dedupe_batch_against, dedupe_within_file
+from odmeter.operators.dedupe import SOURCE_ORDER, anti_join_existing, dedupe_batch_against, dedupe_within_file
 from odmeter.operators.enrich import Route, enrich_geodesic, enrich_routes, enrich_with
+from odmeter.operators.route_index import RouteIndex
 from odmeter.plans.bookmark import HISTORICAL, PART, append_manifest, bookmark_state, read_manifest
 from odmeter.plans.work import FileUnit, MonthTask, collect_tasks, file_units, plan_work
 from odmeter.reports.quality import quality_measures, throughput
@@ -35,12 +36,12 @@ from odmeter.sources.files import (
     with_rows_read,
 )
 
-# (rows to enrich, rows as scanned) -> rows with distance and duration
+# (rows to enrich, scanned rows that hold at least their pairs and no landed key) -> rows with distance and duration
 Enrich = Callable[[DataFrame, DataFrame], DataFrame]
 
 
-def by_routes(routes: DataFrame) -> Enrich:
-    """Enrichment from a route table; its pair branch reads the plain scan, not the de-duplicated rows."""
+def by_routes(routes: DataFrame | RouteIndex) -> Enrich:
+    """Enrichment from a route table; its pair branch reads the scan less landed keys, not the de-duplicated rows."""
     return lambda rows, scanned: enrich_routes(rows, routes, pairs_of=scanned)
 
 
@@ -128,7 +129,7 @@ def ingest_rows(
     options = options or IngestOptions()
     od = clean.select_od(scanned, FILE_COLUMNS, on_bad_number=options.on_bad_number)
     new = dedupe_batch_against(
-        prepare(od, options, order), existing, order, between=lambda rows: clean.drop_unrouted(enrich(rows, od))
+        prepare(od, options, order), existing, order, between=lambda rows: clean.drop_unrouted(enrich(rows, anti_join_existing(od, existing)))
     )
     return clean.with_year_month(clean.with_lineage(new, ctx)).select(*LANDING.fieldNames())
 

@@ -15,11 +15,13 @@ from odmeter.reports.quality import backfill_counts
 from odmeter.schemas import KEY, MONTH
 from odmeter.session import cut_lineage
 from odmeter.sinks.swap import file_snapshot, repair, replace_months
-from odmeter.sources.files import landed_schema, read_landing
+from odmeter.sources.files import landed_schema, list_landing, month_folder, read_landing
 
 # Fixed value: rows per file after daily de-duplication.
 DEDUPE_BLOCK_ROWS = 1_000_000
 TARGET_FILE_BYTES = 1 << 30
+#: files below this share of the target are merged
+SMALL_SHARE = 0.75
 
 
 @dataclass(frozen=True)
@@ -77,18 +79,18 @@ def _rewrite(
         for r in dedupe_report(rows, ["year", "month"], scope_key).collect()
     }
     files = {m: _files_wanted(before[m].size, target_bytes) for m in months}
-
-    def due(month: str) -> bool:
-        rows_before, rows_after = counts.get(month, (0, 0))
-        return rows_after > 0 and (
-            rows_before != rows_after or (needs == "compact" and before[month].files > files[month])
-        )
-
-    todo = [m for m in months if due(m)]
-    if todo and not dry_run:
-        chosen = read_landing(spark, landing, todo, rows.schema)
-        unique = _spread(dedupe_month(chosen, scope_key), {m: files[m] for m in todo})
-        replace_months(unique, landing, {m: counts[m][1] for m in todo}, before, max_records)
+    twice = [m for m in months if counts.get(m, (0, 0))[0] != counts.get(m, (0, 0))[1]]
+    small = {}
+    if needs == "compact":
+        unique = [m for m in months if m not in twice and before[m].files > 1 and counts.get(m, (0, 0))[1]]
+        small = small_files(spark, landing, unique, target_bytes)
+    todo = [m for m in months if m in twice or m in small]
+    if twice and not dry_run:
+        chosen = read_landing(spark, landing, twice, rows.schema)
+        unique = _spread(dedupe_month(chosen, scope_key), {m: files[m] for m in twice})
+        replace_months(unique, landing, {m: counts[m][1] for m in twice}, before, max_records)
+    if small and not dry_run:
+        _merge_files(spark, landing, small, before, rows.schema, target_bytes)
     after = file_snapshot(spark, landing, months) if todo and not dry_run else before
     return [
         MonthChange(
@@ -99,6 +101,35 @@ def _rewrite(
     ]
 
 
+def small_files(spark: SparkSession, landing: str, months: list[str], target_bytes: int = TARGET_FILE_BYTES) -> dict[str, dict[str, int]]:
+    """Names and sizes, by month, of the files below ``SMALL_SHARE`` of the target that fit together into fewer files.
+
+    Files that are large enough, and months where merging would leave as many files, are left out.
+    """
+    if not months:
+        return {}
+    listed = list_landing(spark, landing, months).where(F.col("file_size") < SMALL_SHARE * target_bytes)
+    per_month = listed.groupBy(MONTH).agg(F.count(F.lit(1)).alias("files"), F.sum("file_size").alias("size"))
+    due = per_month.where(F.col("files") > F.greatest(F.ceil(F.col("size") / target_bytes), F.lit(1)))
+    out: dict[str, dict[str, int]] = {}
+    for r in listed.join(F.broadcast(due.select(MONTH)), MONTH).select(MONTH, "file_name", "file_size").collect():
+        out.setdefault(r[MONTH], {})[r["file_name"]] = r["file_size"]
+    return out
+
+
+def _merge_files(
+    spark: SparkSession, landing: str, small: dict[str, dict[str, int]], before: dict, schema: StructType, target_bytes: int
+) -> None:
+    """Rewrites just the small files of each month; all others keep their names and times."""
+    paths = [f"{month_folder(landing, m)}/{name}" for m, names in small.items() for name in names]
+    rows = spark.read.schema(schema).option("basePath", landing).parquet(*paths)
+    counted = {f"{r['year']}-{r['month']}": r["count"] for r in rows.groupBy("year", "month").count().collect()}
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    files = {m: _files_wanted(sum(names.values()), target_bytes) for m, names in small.items()}
+    spread = _spread(rows.select("*", *place), files, ["_file", "_row"]).drop("_file", "_row")
+    replace_months(spread, landing, counted, before, retire={m: sorted(names) for m, names in small.items()})
+
+
 def dedupe_months(
     spark: SparkSession,
     landing: str,
@@ -125,7 +156,8 @@ def compact_months(
 ) -> list[MonthChange]:
     """Closed months: keep-first and one file per month, or one per ``target_bytes`` of a larger month.
 
-    A month that is already compact and free of duplicates is not touched, so a second run does nothing.
+    A month with duplicates is rewritten whole.  Of one without, only small files are, and only if that leaves fewer files: large ones
+    keep their names and times.  A month that is compact and free of duplicates is not touched, so a second run does nothing.
     """
     return _rewrite(spark, landing, months, "compact", key, target_bytes, None, dry_run)
 

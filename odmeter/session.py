@@ -67,6 +67,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Written once as Parquet in the shared folder and read back: computed exactly once, and read by column."""
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Hands this package to the Python workers, as ``--py-files`` would; once per application."""
     context = spark.sparkContext

@@ -155,3 +155,80 @@ def test_hot_pair_and_hot_grid_cell(spark):
     )
     got = enrich.enrich_routes(base, route_table(spark, (A, (1.0, 1.0))))
     assert values(got.groupBy("route_match").count()) == [("exact", 1000), ("no_route", 1000), ("rounded", 1000)]
+
+
+def test_prepared_routes_answer_alike_and_are_not_shuffled(spark, sf, tmp_path):
+    from odmeter.operators import route_index
+
+    rows, routes = samples.od(spark, sf), samples.routes(spark, sf)
+    index = route_index.write_routes(routes, str(tmp_path / "routes"), 8)
+    columns = (KEY, "row_index", "distance", "duration", "route_match")
+    assert values(enrich.enrich_routes(rows, index), *columns) == values(enrich.enrich_routes(rows, routes), *columns)
+    again = route_index.open_routes(spark, str(tmp_path / "routes"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pairs = enrich.pair_counts(rows)
+        cells = route_index.with_grid(pairs).select(*route_index.GRID).distinct()
+        for joined in (again.join_exact(pairs), cells.join(again.near, route_index.GRID)):
+            plan = plan_of(joined)
+            assert "SortMergeJoin" in plan
+            indent = lambda line: len(line) - len(line.lstrip(" :+-"))
+            lines = plan.splitlines()
+            scan = max(k for k, x in enumerate(lines) if "FileScan parquet spark_catalog" in x)
+            assert "Bucketed: true" in lines[scan]
+            # what stands over the scan, up to the join: no exchange
+            depth, above = indent(lines[scan]), []
+            for line in reversed(lines[:scan]):
+                if indent(line) < depth:
+                    depth = indent(line)
+                    above.append(line)
+            over = above[: next(k for k, x in enumerate(above) if "SortMergeJoin" in x)]
+            assert not any("Exchange" in x for x in over)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_zeros_of_either_sign_are_one_coordinate(spark):
+    got = enrich.enrich_routes(pairs_of(spark, (0.0, -0.0, 1.0, 0.0)), route_table(spark, ((-0.0, 0.0, 1.0, -0.0), (5.0, 1.0))))
+    assert values(got, "distance", "route_match") == [(5.0, "exact")]
+
+
+def test_nothing_is_looked_up_on_a_replay(spark, tmp_path, monkeypatch):
+    """All keys have landed: no pair reaches the route table."""
+    from odmeter.plans import ingest
+    from odmeter.context import RunContext
+    from test_files import write_file
+
+    source, landing, manifest = (str(tmp_path / n) for n in ("source", "landing", "manifest"))
+    write_file(spark, source, "2025-12", "a.parquet", ["k1", "k2"], 1_764_561_600)
+    looked, real = [], enrich._looked_up
+    monkeypatch.setattr(enrich, "_looked_up", lambda pairs, index: looked.append(real(pairs, index)) or looked[-1])
+    for _ in range(2):
+        ingest.ingest_batch(spark, source, landing, str(tmp_path / f"manifest{len(looked)}"), RunContext.at("2025-12-02T04:00:00+00:00"),
+                            ingest.by_routes(route_table(spark, ((1.5,) * 4, (1.0, 1.0)))))
+    assert [x.count() for x in looked] == [1, 0]
+
+
+def test_latest_good_answer_of_a_store_counts(spark, tmp_path):
+    store = str(tmp_path / "answers")
+    answers = [
+        (*A, 900.0, 9.0, 1, "exact", "2025-12-01T00:00:00.000000"), (*A, 5.0, 1.0, 1, "exact", "2025-12-02T00:00:00.000000"),
+        (*A, None, None, 5, "retries_exhausted", "2025-12-03T00:00:00.000000"), (*B, 7.0, 1.0, 1, "exact", None), (*B, None, None, 1, "no_route", "2025-12-01T00:00:00.000000"),
+    ]
+    spark.createDataFrame(answers, f"{enrich._ANSWER}, asked_at string").write.parquet(store)
+
+    def connect():
+        raise AssertionError("nothing is left to ask")
+
+    got = enrich.ask_routes(enrich.od_pairs(pairs_of(spark, A, B)), connect, 2, store=store)
+    assert values(got, "distance", "route_match") == [(5.0, "exact"), (None, "no_route")]
+
+
+def test_each_step_reads_its_own_part_of_the_work(spark, tmp_path, monkeypatch):
+    read, real = [], enrich.existing
+    monkeypatch.setattr(enrich, "existing", lambda s, paths: read.extend(p for p in paths if "/step=" in p) or real(s, paths))
+    pairs = enrich.od_pairs(pairs_of(spark, *[(float(k), 1.0, 2.0, 3.0) for k in range(40)]))
+    got = enrich.ask_routes(pairs, lambda: lambda *pair: (pair[0], 1.0), 2, store=str(tmp_path / "answers"), pairs_per_commit=10)
+    assert got.count() == 40 and len(read) == 4
+    sizes = [spark.read.parquet(p).count() for p in real(spark, read)]
+    assert sum(sizes) == 40 and max(sizes) < 40

@@ -269,3 +269,27 @@ def test_extra_columns_survive_a_rewrite(spark, tmp_path):
     kept = spark.read.parquet(path)
     assert "note" in kept.columns and values(kept, KEY, "note") == [("a", "2025-12-01")]
     assert set(LANDING.fieldNames()) <= set(kept.columns)
+
+
+def test_only_small_files_are_merged(spark, landing):
+    maintain.dedupe_months(spark, landing, DEC)
+    for key in ("x", "y", "z"):
+        write_landing(landing_frame(spark, row(key)), landing)
+    size = max(os.path.getsize(f"{landing}/year=2025/month=12/{n}") for n in parquet_names(landing))
+    assert maintain.small_files(spark, landing, DEC, size // 4) == {}  # all are large: nothing to merge
+    november = parquet_names(landing, "11")
+    (change,) = maintain.compact_months(spark, landing, DEC, target_bytes=size * 8)
+    assert change.rewritten and change.files_after == 1 and change.rows_after == 6
+    # two late files beside one that is large for its target: it keeps its name and time
+    long = landing_frame(spark, *[row("k" + os.urandom(40).hex()) for _ in range(400)]).coalesce(1)
+    write_landing(long, landing, layout=False)
+    big = max(parquet_names(landing), key=lambda n: os.path.getsize(f"{landing}/year=2025/month=12/{n}"))
+    path = f"{landing}/year=2025/month=12/{big}"
+    was = os.stat(path)
+    write_landing(landing_frame(spark, row("p")), landing)
+    assert len(parquet_names(landing)) == 3
+    maintain.compact_months(spark, landing, DEC, target_bytes=was.st_size)
+    assert len(parquet_names(landing)) == 2 and os.stat(path).st_mtime_ns == was.st_mtime_ns
+    again = parquet_names(landing)
+    maintain.compact_months(spark, landing, DEC, target_bytes=was.st_size)
+    assert parquet_names(landing) == again and parquet_names(landing, "11") == november
