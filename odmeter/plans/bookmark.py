@@ -2,16 +2,26 @@
 
 State is an aggregate over an append-only manifest with one row per processed file.  Nothing is read,
 changed and written back, so the state cannot go backwards and a repeated run does no harm.
+
+``compact_manifest`` takes what has been appended (the tail, small files) into a history of large files and a snapshot of few rows;
+``read_state`` reads the snapshot and the tail alone.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Callable
+from dataclasses import asdict, dataclass, field
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from odmeter.functions import columns as C
 from odmeter.schemas import BOOKMARK, MANIFEST, MONTH
-from odmeter.sources.paths import existing
+from odmeter.sinks.views import latest_version, put_version
+from odmeter.sources.paths import Folder, existing
 
 # Job types of a month.
 HISTORICAL = "HISTORICAL"
@@ -102,10 +112,13 @@ def manifest_of(state: DataFrame) -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """The manifest table; a missing one is the empty, reset state."""
-    if existing(spark, [path]):
-        return spark.read.schema(MANIFEST).parquet(path)
-    return spark.createDataFrame([], MANIFEST)
+    """The manifest table, every row of it; a missing one is the empty, reset state."""
+    return _with_tail(spark, path, lambda snapshot: snapshot.history)
+
+
+def read_state(spark: SparkSession, path: str) -> DataFrame:
+    """``bookmark_state`` of a manifest, from its latest snapshot and what has been appended since: history is not read."""
+    return bookmark_state(_with_tail(spark, path, lambda snapshot: [snapshot.rows] if snapshot.rows else []))
 
 
 def append_manifest(rows: DataFrame, path: str) -> None:
@@ -115,3 +128,77 @@ def append_manifest(rows: DataFrame, path: str) -> None:
     """
     absent = {f.name: F.lit(None).cast(f.dataType) for f in MANIFEST if f.name not in rows.columns}
     rows.withColumns(absent).select(*MANIFEST.fieldNames()).hint("rebalance").write.mode("append").parquet(path)
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    """What has been taken out of the tail: ``rows`` is the folder of the state, ``history`` those of all commit rows.
+
+    ``covered`` are the tail files that both hold; those still there are passed over.
+    """
+
+    version: int = 0
+    rows: str | None = None
+    history: list[str] = field(default_factory=list)
+    covered: list[str] = field(default_factory=list)
+
+
+def state_rows(manifest: DataFrame) -> DataFrame:
+    """The fewest rows with the same ``bookmark_state``, now and after any later commits: of each month the last closing, and one row for
+    each run since with its latest file time.
+    """
+    per_run = manifest.where(F.col("mode") != PART).groupBy(MONTH, "mode", "run_ts").agg(
+        F.max("file_time").alias("file_time"), F.sum("rows").alias("rows")
+    )
+    historical = F.col("mode") == HISTORICAL
+    closed = F.max(F.when(historical, F.col("run_ts"))).over(Window.partitionBy(MONTH))
+    kept = per_run.withColumn("_closed", closed).where(F.col("_closed").isNull() | (F.col("run_ts") >= F.col("_closed")))
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in MANIFEST if f.name not in kept.columns}
+    return kept.withColumns(absent).select(*MANIFEST.fieldNames())
+
+
+def compact_manifest(spark: SparkSession, path: str) -> int:
+    """Takes the tail into history and a new snapshot; returns how many files it had.
+
+    Files that are appended meanwhile stay in the tail.  The snapshot is put in one step; a crash before leaves all as it was, and one
+    after it only files that readers pass over.  One compaction at a time; a second one raises ``ViewTaken``.
+    """
+    folder = Folder(spark, path)
+    was = _snapshot(folder, path)
+    tail = [n for n in folder.sizes(path) if n not in was.covered]
+    if not tail:
+        return 0
+    root, number = _snapshots(path), was.version + 1
+    unique = uuid.uuid4().hex
+    rows, history = f"{root}/rows-{unique}", f"{root}/history-{unique}"
+    commits = spark.read.schema(MANIFEST).parquet(*(f"{path}/{n}" for n in tail))
+    commits.hint("rebalance").write.parquet(history)
+    old = [spark.read.schema(MANIFEST).parquet(was.rows)] if was.rows else []
+    everything = reduce(DataFrame.unionByName, [spark.read.schema(MANIFEST).parquet(history), *old])
+    state_rows(everything).hint("rebalance").write.parquet(rows)
+    now = Snapshot(number, rows, [*was.history, history], tail)
+    put_version(folder, f"{root}/versions", number, json.dumps(asdict(now)))
+    for name in [*tail, *was.covered]:
+        folder.delete(f"{path}/{name}")
+    return len(tail)
+
+
+def _snapshots(path: str) -> str:
+    return f"{path.rstrip('/')}__snapshot"
+
+
+def _snapshot(folder: Folder, path: str) -> Snapshot:
+    text = latest_version(folder, f"{_snapshots(path)}/versions")[1]
+    return Snapshot(**json.loads(text)) if text else Snapshot()
+
+
+def _with_tail(spark: SparkSession, path: str, parts: Callable[[Snapshot], list[str]]) -> DataFrame:
+    """Some folders of the snapshot and the tail.  If a compaction came between the look at it and the listing, both are done again."""
+    folder = Folder(spark, path)
+    while True:
+        snapshot = _snapshot(folder, path)
+        tail = [f"{path}/{n}" for n in folder.sizes(path) if n not in snapshot.covered]
+        found = [*parts(snapshot), *tail]
+        rows = spark.read.schema(MANIFEST).parquet(*found) if found else spark.createDataFrame([], MANIFEST)
+        if _snapshot(folder, path) == snapshot:
+            return rows

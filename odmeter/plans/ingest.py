@@ -16,7 +16,7 @@ from odmeter.operators import clean
 from odmeter.operators.dedupe import SOURCE_ORDER, anti_join_existing, dedupe_batch_against, dedupe_within_file
 from odmeter.operators.enrich import Route, enrich_geodesic, enrich_routes, enrich_with
 from odmeter.operators.route_index import RouteIndex
-from odmeter.plans.bookmark import HISTORICAL, PART, append_manifest, bookmark_state, read_manifest
+from odmeter.plans.bookmark import HISTORICAL, PART, append_manifest, read_manifest, read_state
 from odmeter.plans.work import FileUnit, MonthTask, collect_tasks, file_units, plan_work
 from odmeter.reports.quality import quality_measures, throughput
 from odmeter.schemas import LANDING, MONTH
@@ -150,7 +150,7 @@ def ingest_batch(
     """
     options = options or IngestOptions()
     started = time.monotonic()
-    state = bookmark_state(read_manifest(spark, manifest))
+    state = read_state(spark, manifest)
     months = list_partitions(spark, source, options.years)
     plan = plan_work(months, state, ctx, options.previous_month_rule, options.skip_completed)
     tasks = collect_tasks(plan)

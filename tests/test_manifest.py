@@ -1,0 +1,92 @@
+"""Snapshots of the manifest: the same state as from all rows, whatever comes later, and crashes."""
+
+import datetime
+import random
+
+import pytest
+
+from helpers import values
+from odmeter.plans import bookmark
+from odmeter.sinks.views import ViewTaken
+
+ROWS = "partition_month string, file_path string, file_time timestamp, mode string, rows bigint, run_ts string"
+
+
+def commits(spark, rng, runs):
+    rows = []
+    for run in runs:
+        for month in ("2025-10", "2025-11", "2025-12"):
+            mode = rng.choice(["HISTORICAL", "INCREMENTAL_CURRENT", "INCREMENTAL_PREVIOUS", "STREAM", "PART"])
+            for k in range(rng.randrange(3)):
+                time = datetime.datetime(2025, 12, 1) + datetime.timedelta(hours=rng.randrange(500))
+                rows.append((month, f"{month}/{run}-{k}", time, mode, rng.randrange(9), f"2025-12-{run:02d}T04:00:00.000000"))
+    return spark.createDataFrame(rows, ROWS)
+
+
+def state(df):
+    return values(df, "partition_month", "completed", "checkpoint", "last_updated")
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_snapshot_and_tail_give_the_state_of_all_rows(spark, tmp_path, seed):
+    rng, path, all_rows = random.Random(seed), str(tmp_path / "manifest"), None
+    order = list(range(1, 13))
+    if seed % 2:  # runs that commit out of order
+        rng.shuffle(order)
+    for k in range(0, 12, 3):
+        rows = commits(spark, rng, order[k : k + 3]).cache()
+        bookmark.append_manifest(rows, path)
+        all_rows = rows if all_rows is None else all_rows.unionByName(rows)
+        assert state(bookmark.read_state(spark, path)) == state(bookmark.bookmark_state(all_rows))
+        if k != 6:
+            assert bookmark.compact_manifest(spark, path) > 0
+        assert state(bookmark.read_state(spark, path)) == state(bookmark.bookmark_state(all_rows))
+        assert values(bookmark.read_manifest(spark, path).drop("batch")) == values(all_rows)
+    assert bookmark.compact_manifest(spark, path) == 0
+
+
+def test_state_rows_are_few(spark):
+    rng = random.Random(1)
+    rows = commits(spark, rng, range(1, 29))
+    kept = bookmark.state_rows(rows)
+    assert kept.count() < rows.count() / 2
+    assert state(bookmark.bookmark_state(kept)) == state(bookmark.bookmark_state(rows))
+
+
+@pytest.mark.parametrize("at", ["put", "delete"])
+def test_compaction_that_is_cut_off_changes_nothing(spark, tmp_path, monkeypatch, at):
+    rng, path = random.Random(2), str(tmp_path / "manifest")
+    rows = commits(spark, rng, range(1, 9))
+    bookmark.append_manifest(rows, path)
+
+    def cut_off(*args):
+        raise KeyboardInterrupt
+
+    if at == "put":
+        monkeypatch.setattr(bookmark, "put_version", cut_off)
+    else:
+        monkeypatch.setattr(bookmark.Folder, "delete", cut_off)
+    with pytest.raises(KeyboardInterrupt):
+        bookmark.compact_manifest(spark, path)
+    monkeypatch.undo()
+    for _ in range(2):
+        assert values(bookmark.read_manifest(spark, path).drop("batch")) == values(rows)
+        assert state(bookmark.read_state(spark, path)) == state(bookmark.bookmark_state(rows))
+        bookmark.append_manifest(rows.limit(0), path)
+        bookmark.compact_manifest(spark, path)
+
+
+def test_second_compaction_at_the_same_time_is_turned_away(spark, tmp_path, monkeypatch):
+    path, real = str(tmp_path / "manifest"), bookmark.put_version
+    rows = commits(spark, random.Random(3), range(1, 5))
+    bookmark.append_manifest(rows, path)
+
+    def late(folder, place, number, text):
+        monkeypatch.setattr(bookmark, "put_version", real)
+        bookmark.compact_manifest(spark, path)
+        real(folder, place, number, text)
+
+    monkeypatch.setattr(bookmark, "put_version", late)
+    with pytest.raises(ViewTaken):
+        bookmark.compact_manifest(spark, path)
+    assert values(bookmark.read_manifest(spark, path).drop("batch")) == values(rows)
