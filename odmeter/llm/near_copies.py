@@ -8,7 +8,7 @@ number of shingles, and the chance that two texts agree in a coordinate is their
 
 Texts that agree in a whole band of ``ROWS`` coordinates share a bucket.  At the similarity 0.8 a pair shares none of
 the 25 bands with a chance of 5e-5.  Inside a bucket pairs whose signatures agree well enough (a chance of 1e-5 to lose a pair of 0.8)
-are compared exactly; links are kept as a forest, not as pairs, and give connected components.
+are compared exactly (over 32-bit hashes of their shingles); links are kept as a forest, not as pairs, and give connected components.
 
 Equal texts (md5 of the bytes) are one node from the start.  Buckets of more than ``BLOCK`` texts or ``BLOCK_SHINGLES``
 shingles are cut into blocks, and each pair of blocks is a group of its own: no task holds an unbounded bucket, and none is capped.
@@ -184,7 +184,8 @@ def _links(batches):
 
 
 def near_copy_classes(docs: DataFrame) -> DataFrame:
-    """doc_id, key (md5 of the text), cluster_id and ``cluster_rows`` for every row of ``docs`` (doc_id bigint, text)."""
+    """doc_id, key (md5 of the text), cluster_id, ``cluster_rows`` and component (NULL for texts without words) for every row of ``docs``
+    (doc_id bigint, text)."""
     ship_package(docs.sparkSession)
     keyed = docs.select(
         F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("key"), F.col("text"), F.col("doc_id").cast("bigint").alias("doc_id")
@@ -217,24 +218,26 @@ def near_copy_classes(docs: DataFrame) -> DataFrame:
     )
     placed = cut_lineage(placed)
     classes = cut_lineage(placed.where("n > 0").groupBy("component").agg(F.min("first_id").alias("cluster_id"), F.sum("copies").alias("cluster_rows")))
-    placed = placed.where("n > 0").join(classes, "component").select(F.col("key").alias("_key"), "cluster_id", "cluster_rows")
+    placed = placed.where("n > 0").join(classes, "component").select(F.col("key").alias("_key"), "cluster_id", "cluster_rows", "component")
     rows = sketches.select("doc_id", "key").join(placed, F.col("key") == F.col("_key"), "left")
     alone = F.col("_key").isNull()
     return rows.select(
         "doc_id", "key",
         F.when(alone, F.col("doc_id")).otherwise(F.col("cluster_id")).alias("cluster_id"),
         F.when(alone, F.lit(1).cast("bigint")).otherwise(F.col("cluster_rows")).alias("cluster_rows"),
+        "component",
     )
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each class: that of the smallest doc_id, once where its row repeats."""
+    """``docs`` with one document of each class: that of the smallest doc_id, once where its row repeats or its id has several texts."""
     classes = near_copy_classes(docs).where(F.col("doc_id").eqNullSafe(F.col("cluster_id")))
     # One column tells a row by doc_id and text, so that the join and the removal of repeated rows share a shuffle.
     def identity(key: Column) -> Column:
         return F.unhex(F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.hex(key))))
 
-    kept = classes.select(identity(F.col("key")).alias("identity")).distinct()
+    own = identity(F.col("key"))
+    kept = classes.groupBy(F.coalesce("component", own).alias("class")).agg(F.min(own).alias("identity")).select("identity")
     key = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), identity(key).alias("identity"))
     rows = rows.join(kept, "identity").dropDuplicates(["identity"])

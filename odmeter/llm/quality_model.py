@@ -8,8 +8,8 @@ Training takes at most ``TRAINING_ROWS`` labelled documents, picked by a hash of
 their features are made in the tasks.  Labels are only taken from documents outside the held-out fold.
 
 Defined results: NULL and empty texts score by the bias alone; rows of ``labels`` without doc_id or quality are ignored, of several for
-one document the lowest counts; without usable labels every score is 0.5; repeated documents score
-alike; an empty table gives an empty result.  Extra columns are ignored.
+one document the lowest counts, and of several texts of one doc_id one is learned from; without usable labels every score is 0.5; repeated
+documents score alike; an empty table gives an empty result.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -116,7 +116,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, epochs:
                 "vals": [value[bounds[k] : bounds[k + 1]].astype("<f4").tobytes() for k in range(len(texts))],
             })
 
-    sample = sample.select("doc_id", "text", F.col("quality").cast("int").alias("quality"))
+    # one row for each document, however often its id is there: no more than ``rows`` come to the driver
+    one = F.min_by(F.struct("text", "quality"), F.md5(F.coalesce("text", F.lit("")))).alias("one")
+    sample = sample.groupBy("doc_id").agg(one).select("doc_id", "one.text", F.col("one.quality").cast("int").alias("quality"))
     made = sample.mapInArrow(extract, "doc_id bigint, quality int, slots binary, vals binary").collect()
     examples = sorted(made, key=lambda r: (r["doc_id"] * 0x9E3779B1 % 4294967291, r["doc_id"], bytes(r["slots"])))[:rows]
     model = Ftrl()

@@ -17,7 +17,6 @@ import numpy as np
 
 KEEP = 200_000
 KEEP_STEMS = 300_000
-VOCABULARY = 49_408
 #: ASCII characters after a word that the tokenizer always cuts off from a letter before them
 AFTER = ".,;:!?$%&*#|"
 _LATIN = re.compile("[a-zß-öø-ɏ]+")
@@ -31,6 +30,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def vocabulary(path: str | None = None) -> int:
+    """How many ids a tokenizer has."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path or tokenizer_path()).get_vocab_size()
+
+
 class _Words(dict):
     """Ids, as bytes of unsigned 32-bit integers, of words as they stand in texts; made when they are first asked for."""
 

@@ -149,6 +149,25 @@ def test_vectors_with_odd_values(spark, monkeypatch):
     assert near_vectors.near_vector_components(table.limit(0)).count() == 0
 
 
+def test_one_document_of_a_class_stays_where_its_id_has_several_texts(spark):
+    rng = random.Random(2)
+    text = prose(rng, 80)
+    rows = [(1, text), (1, text + " end"), (2, text + " other"), (None, prose(rng, 70)), (None, prose(rng, 60)), (5, ""), (5, None), (6, " ")]
+    kept = near_copies.drop_near_copies(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sum(r["doc_id"] == 1 for r in kept) == 1 and not any(r["doc_id"] == 2 for r in kept)
+    assert sum(r["doc_id"] is None for r in kept) == 2
+    assert sum(r["doc_id"] in (5, 6) for r in kept) == 2
+
+
+def test_near_copies_of_a_larger_table(spark):
+    """Links at 0.8 over the tenth-scale table, found exactly by shared shingles, against the classes of the operator."""
+    sf = "/root/testdata/sf0.01"
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    got = {r["doc_id"]: r["cluster_id"] for r in near_copies.op4_near_copies(spark, sf).collect()}
+    want = {d: c for d, c, _ in brute_classes(rows)}
+    assert sum(got[d] == (c if c is not None else d) for d, c in want.items()) >= 0.99 * len(want)
+
+
 def brute_repeats(rows, length):
     strings = Counter()
     for _, t in rows:

@@ -4,6 +4,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -40,6 +41,75 @@ def test_classifier_without_usable_labels(spark):
     assert quality_model.score(empty_documents(spark), weights).count() == 0
 
 
+def test_repeated_ids_bring_no_more_rows_to_the_driver(spark, monkeypatch):
+    rows = [(k, f"good words here {k}") for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    hot = docs.unionByName(docs.where("doc_id = 3").selectExpr("doc_id", "text", "explode(sequence(1, 500))").drop("col"))
+    labels = spark.createDataFrame([(k, k % 2) for k in range(20)], "doc_id bigint, quality int")
+    learned, real = [], quality_model.Ftrl.learn
+    monkeypatch.setattr(quality_model.Ftrl, "learn", lambda self, *a: learned.append(1) or real(self, *a))
+    once = quality_model.train(docs, labels, epochs=1)
+    seen = len(learned)
+    again = quality_model.train(hot, labels, epochs=1)
+    assert len(learned) == 2 * seen and (once == again).all()
+
+
+def brute_features(text, slots):
+    """Features of one text by plain loops over its words."""
+    words = [w for w in text.replace(b"\t", b" ").replace(b"\n", b" ").split(b" ") if w]
+    one = lambda x: np.array([x], np.uint64)
+    hashes = [quality_model.Words([w]).hashes[0] for w in words]
+    forms = []
+    for k, w in enumerate(words):
+        same = np.uint64(k > 0 and words[k - 1] == w)
+        kinds = quality_model._KIND
+        forms.append(kinds[w[0]] + np.uint64(8) * kinds[w[-1]] + np.uint64(64) * same + np.uint64(128) * np.uint64(min(len(w), 24) // 8))
+    out, half = {}, slots // 2
+    for first, values, sizes, family in ((0, hashes, (1, 2), 101), (half, forms, (1, 2, 3), 201)):
+        count = Counter()
+        for size in sizes:
+            for k in range(size - 1, len(words)):
+                total = quality_model.mix64(one(values[k]), family + size)
+                for back in range(1, size):
+                    total = total + quality_model.mix64(one(values[k - back]), family + size + 16 * back)
+                count[int(quality_model.mix64(total, family + size)[0] % np.uint64(half))] += 1
+        length = math.sqrt(sum(math.log1p(n) ** 2 for n in count.values()))
+        out.update({first + s: math.log1p(n) / length for s, n in count.items()})
+    return out
+
+
+def test_features_and_scores_against_brute_force(spark):
+    texts = [b"The same same words, of the SAME kind! 12 times", b"a b c", b"x", b"Long-word-with-many-letters and 7\n\tnew lines"]
+    of, slot, value = quality_model.features(texts)
+    weights = np.random.default_rng(3).normal(0, 1, quality_model.SLOTS + 1).astype(np.float32)
+    docs = spark.createDataFrame([(k, t.decode()) for k, t in enumerate(texts)], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["score"] for r in quality_model.score(docs, weights).collect()}
+    for k, text in enumerate(texts):
+        want = brute_features(text, quality_model.SLOTS)
+        assert dict(zip(slot[of == k].tolist(), value[of == k].tolist())) == pytest.approx(want, rel=1e-5)
+        total = sum(float(weights[s]) * v for s, v in want.items()) + float(weights[-1])
+        assert got[k] == pytest.approx(1 / (1 + math.exp(-total)), rel=1e-4)
+
+
+def test_ftrl_update_by_hand():
+    model = quality_model.Ftrl(8)
+    model.learn(np.array([2]), np.array([1.0]), 1)
+    model.learn(np.array([2]), np.array([1.0]), 1)
+    z = n = 0.0
+    bias_z = bias_n = 0.0
+    for _ in range(2):
+        def weight(z, n):
+            return 0.0 if abs(z) <= quality_model.L1 else (math.copysign(quality_model.L1, z) - z) / ((quality_model.BETA + math.sqrt(n)) / quality_model.ALPHA + quality_model.L2)
+
+        w, b = weight(z, n), weight(bias_z, bias_n)
+        g = 1 / (1 + math.exp(-(w + b))) - 1
+        z += g - (math.sqrt(n + g * g) - math.sqrt(n)) / quality_model.ALPHA * w
+        bias_z += g - (math.sqrt(bias_n + g * g) - math.sqrt(bias_n)) / quality_model.ALPHA * b
+        n += g * g
+        bias_n += g * g
+    assert model.z[2] == pytest.approx(z) and model.n[2] == pytest.approx(n) and model.z[-1] == pytest.approx(bias_z)
+
+
 def test_features_do_not_depend_on_neighbours():
     texts = [b"a b a b", b"", b"Lorem ipsum", b"x " * 50]
     of, slot, value = quality_model.features(texts)

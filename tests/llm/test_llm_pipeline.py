@@ -2,8 +2,10 @@
 
 import re
 
+import pytest
+
 import corpus_pipeline
-from llm_helpers import odd_documents
+from llm_helpers import clashing, empty_documents, odd_documents
 from odmeter.llm import mixing
 from odmeter.llm.queries import QUERIES
 from odmeter.session import new_folder
@@ -59,6 +61,23 @@ def test_odd_documents_pass_every_stage(spark, sf):
     assert rows.count() > 0
 
 
+@pytest.mark.parametrize("kind", ["odd", "clashing", "empty", "repeated"])
+def test_whole_pipeline_on_unusual_tables(spark, sf, kind):
+    """All stages from the classifier on, each written and read; stages but the last keep the columns."""
+    rows = empty_documents(spark) if kind == "empty" else odd_documents(spark)
+    if kind == "clashing":
+        rows = clashing(rows, "score", "size", "class", "position", "key", "taken")
+    if kind == "repeated":
+        rows = rows.unionByName(rows).unionByName(spark.read.parquet(f"{sf}/documents.parquet").select(rows.columns).limit(40))
+    columns = rows.columns
+    for name, stage in corpus_pipeline.STAGES:
+        path = new_folder(spark, f"{kind}-{name}")
+        stage(spark, rows, sf).write.parquet(path)
+        rows = spark.read.parquet(path)
+        assert name == corpus_pipeline.STAGES[-1][0] or rows.columns == columns
+    assert kind != "empty" or rows.count() == 0
+
+
 def test_registered_names():
     import __spark_entry__ as entry
 
