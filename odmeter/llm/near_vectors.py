@@ -1,7 +1,9 @@
 """Near-duplicate vectors: random-hyperplane sign hashing, exact cosines, connected components.
 
-Vectors of one label are compared by cosine in double precision.  ``TABLES`` tables of ``BITS`` hyperplanes each give a code; two
-vectors at cosine 0.93 agree in a bit with chance 0.88, in a table with 0.28, and miss all tables with 7e-6.
+Vectors of one label are compared by cosine in double precision.  Tables of hyperplanes each give a code; two
+vectors at cosine 0.93 agree in a bit with chance 0.88, in a table of ten bits with 0.28, and miss 36 tables with 7e-6.  A label with more
+vectors gets more bits (``settings``), so that a bucket holds some ``FILL`` vectors that are no neighbours whatever the number of all, and
+as many more tables as keep that chance.
 Equal vectors of a label are one node from the start, with their number.  Vectors that share a bucket (table, label, code) are compared by
 one matrix product; a pair counts in the first table in which its codes agree, so no pair is counted twice
 and none has to leave the task: out come link counts per vector and a forest of links.
@@ -16,6 +18,8 @@ empty result.  Extra columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,6 +30,8 @@ from odmeter.session import cut_lineage, ship_package
 
 COSINE = 0.93
 TABLES, BITS = 36, 10
+#: vectors of a label in a bucket by chance, and the chance to miss a pair at COSINE that more bits must keep
+FILL, MISS = 64, 7.7e-6
 BLOCK = 2048
 SEED = 20011
 
@@ -35,15 +41,29 @@ def hyperplanes(dimensions: int, tables: int = TABLES, bits: int = BITS) -> np.n
     return np.random.default_rng([SEED, dimensions]).standard_normal((dimensions, tables * bits))
 
 
+def settings(most: int) -> tuple[int, int]:
+    """Tables and bits for labels of at most ``most`` vectors."""
+    bits = max(BITS, math.ceil(math.log2(max(1, most) / FILL)))
+    agree = (1 - math.acos(COSINE) / math.pi) ** bits
+    return max(TABLES, math.ceil(math.log(MISS) / math.log1p(-agree))), bits
+
+
 def codes(vectors: np.ndarray, tables: int = TABLES, bits: int = BITS) -> np.ndarray:
-    """A code per vector and table (int16)."""
+    """A code per vector and table (int32)."""
     signs = (vectors @ hyperplanes(vectors.shape[1], tables, bits) > 0).reshape(len(vectors), tables, bits)
-    return (signs << np.arange(bits)).sum(2).astype(np.int16)
+    return (signs << np.arange(bits)).sum(2).astype(np.int32)
+
+
+def _coded(tables: int, bits: int):
+    schema = pa.schema([("node", pa.binary()), ("label", pa.int64()), ("copies", pa.int64()), ("unit", pa.binary()), ("codes", pa.list_(pa.int32()))])
+    rows = 1024  # at once: their signs take 8 bytes each
+    return lambda batches: (
+        coded for batch in batches for at in range(0, batch.num_rows, rows) for coded in _coded_batch(batch.slice(at, rows), schema, tables, bits)
+    )
 
 
-def _coded(batches):
-    schema = pa.schema([("node", pa.binary()), ("label", pa.int64()), ("copies", pa.int64()), ("unit", pa.binary()), ("codes", pa.list_(pa.int16()))])
-    for batch in batches:
+def _coded_batch(batch, schema, tables, bits):
+    if batch.num_rows:
         node, label, copies, vectors = batch.columns
         sizes = np.array([len(v) for v in vectors], np.int64)
         for size in np.unique(sizes):
@@ -52,14 +72,14 @@ def _coded(batches):
             x = np.asarray(taken.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(at), size)
             x = x / np.abs(x).max(1, keepdims=True)
             x = x / np.sqrt((x * x).sum(1, keepdims=True))
-            code = codes(x)
+            code = codes(x, tables, bits)
             yield pa.RecordBatch.from_arrays([
                 node.take(pa.array(at)), label.take(pa.array(at)), copies.take(pa.array(at)),
-                pa.array([v.tobytes() for v in x], pa.binary()), pa.array(list(code), pa.list_(pa.int16())),
+                pa.array([v.tobytes() for v in x], pa.binary()), pa.array(list(code), pa.list_(pa.int32())),
             ], schema=schema)
 
 
-def _compare(cosine: float):
+def _compare(cosine: float, tables: int):
     def compare(batches):
         schema = pa.schema([("node", pa.binary()), ("links", pa.int64()), ("other", pa.binary())])
         for table, bounds in whole_groups(batches, "g"):
@@ -68,7 +88,7 @@ def _compare(cosine: float):
             copies, sides, turns = (columns[c].to_numpy() for c in ("copies", "side", "turn"))
             across = columns["across"].to_pylist()
             units = columns["unit"].to_pylist()
-            coded = np.asarray(columns["codes"].combine_chunks().flatten().to_numpy(zero_copy_only=False)).reshape(len(units), TABLES)
+            coded = np.asarray(columns["codes"].combine_chunks().flatten().to_numpy(zero_copy_only=False)).reshape(len(units), tables)
             for first, last in zip(bounds[:-1], bounds[1:]):
                 if last - first < 2:
                     continue
@@ -116,8 +136,9 @@ def near_vector_components(vectors: DataFrame, cosine: float = COSINE, block: in
         F.first("label").alias("label"), F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("first_id"), F.first("embedding").alias("embedding")
     )
     nodes = cut_lineage(nodes)
+    tables, bits = settings(nodes.groupBy("label").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0)
     coded = nodes.select("node", "label", "copies", "embedding").mapInArrow(
-        _coded, "node binary, label bigint, copies bigint, unit binary, codes array<smallint>"
+        _coded(tables, bits), "node binary, label bigint, copies bigint, unit binary, codes array<int>"
     )
     coded = cut_lineage(coded)
     slots = coded.select("node", "label", F.posexplode("codes").alias("turn", "code"))
@@ -129,7 +150,7 @@ def near_vector_components(vectors: DataFrame, cosine: float = COSINE, block: in
     group = F.xxhash64("bucket", F.least("side", "other"), F.greatest("side", "other"))
     dealt = coded.join(hits.select("node", "turn", "side", (F.col("side") != F.col("other")).alias("across"), group.alias("g")), "node")
     dealt = dealt.select("g", "node", "turn", "side", "across", "copies", "unit", "codes").repartition("g").sortWithinPartitions("g")
-    found = cut_lineage(dealt.mapInArrow(_compare(cosine), "node binary, links bigint, other binary"))
+    found = cut_lineage(dealt.mapInArrow(_compare(cosine, tables), "node binary, links bigint, other binary"))
 
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     components = connected_components(found.where(F.col("other").isNotNull()).select(F.col("node").alias("a"), F.col("other").alias("b")))

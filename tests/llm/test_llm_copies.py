@@ -227,6 +227,24 @@ def test_deep_shallow_sort():
         assert all(shared[j] == suffix_sort.common_prefix(texts[order[j - 1]], texts[order[j]]) for j in range(1, len(texts)))
 
 
+def test_more_vectors_get_more_bits_and_keep_the_recall():
+    assert near_vectors.settings(0) == near_vectors.settings(60_000) == (36, 10)
+    rng = np.random.default_rng(0)
+    for most in (10**6, 10**8):
+        tables, bits = near_vectors.settings(most)
+        assert most / 2**bits <= near_vectors.FILL and tables > 36
+        agree = (1 - math.acos(0.93) / math.pi) ** bits
+        assert (1 - agree) ** tables <= near_vectors.MISS
+        # pairs at the cosine itself: nearly all meet in a table
+        a = rng.standard_normal((400, 48))
+        b = rng.standard_normal((400, 48))
+        a /= np.linalg.norm(a, axis=1, keepdims=True)
+        b -= (a * b).sum(1, keepdims=True) * a
+        b = 0.93 * a + math.sqrt(1 - 0.93**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+        met = (near_vectors.codes(a, tables, bits) == near_vectors.codes(b, tables, bits)).any(1)
+        assert met.mean() > 0.99
+
+
 def test_multikey_quicksort_orders_and_groups():
     rng = np.random.default_rng(5)
     for n, columns, values in ((0, 2, 3), (1, 2, 3), (50, 1, 4), (400, 4, 2), (300, 2, 1), (2000, 3, 50)):
