@@ -2,6 +2,11 @@
 
 ``run`` writes what each stage returns as Parquet in the shared folder and reads it again for the next one, so that a lost executor
 costs one stage at most.  All stages but the last return the columns of documents.
+
+Defined results: an empty table passes as an empty table.  NULL and empty texts score by the classifier's bias alone, are copies of nothing, hold
+no personal data, and are no part of the mix, since they have no words; a NULL doc_id, source or n_chars stays as it is, and a NULL source is a source
+of its own.  Of rows that repeat one stays after near_dedup, and as many as the mix takes of it come after it.  Texts of any length
+are processed whole.  Extra columns are kept up to the last stage, whatever their names.
 """
 
 from __future__ import annotations
