@@ -15,8 +15,8 @@ from array import array
 
 import numpy as np
 
-KEEP = 200_000
-KEEP_STEMS = 300_000
+KEEP = 350_000
+KEEP_STEMS = 450_000
 #: ASCII characters after a word that the tokenizer always cuts off from a letter before them
 AFTER = ".,;:!?$%&*#|"
 _LATIN = re.compile("[a-zß-öø-ɏ]+")
