@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from helpers import comparable
+from helpers import comparable, plan_of
 
 
 @pytest.fixture(scope="module")
@@ -31,3 +31,9 @@ def test_query(spark, sf, duck, name):
 
 def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_rows_of_the_deduplicated_stream_meet_their_dates_by_key(spark, sf):
+    plan = plan_of(entry._dated_rows(spark, sf))
+    assert "HashJoin" in plan or "SortMergeJoin" in plan
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
