@@ -205,6 +205,31 @@ def test_repeated_passages(spark, hot):
     assert got == brute_repeats(rows, 400)
 
 
+def test_texts_whose_sums_of_powers_agree(spark):
+    """Thue-Morse words over two chosen letters: sums of bytes times powers of a base modulo 2^64 are equal, the bytes are not."""
+    word = [0]
+    while len(word) < 64:
+        word += [1 - x for x in word]
+    one, other = ("".join(("afjf", "jynz")[x ^ flip] for x in word) for flip in (0, 1))
+    rng = random.Random(4)
+    pad = ["".join(rng.choice("klm ") for _ in range(80)) for _ in range(2)]
+
+    def rows_with(gram):
+        return [(1, pad[0] + one + gram + other + pad[1]), (2, pad[0] + other + gram + one + pad[1])]
+
+    # a gram between the words that is the anchor of all strings
+    for _ in range(20000):
+        rows = rows_with("".join(rng.choice("abcdefgh") for _ in range(64)))
+        runs = [repeats.runs_of([t.encode()]) for _, t in rows]
+        if all(r["strings"].tolist() == [337] for r in runs):
+            break
+    assert [len(r["strings"]) for r in runs] == [1, 1] and runs[0]["gram"][0] == runs[1]["gram"][0]
+    assert not np.array_equal(runs[0]["content"], runs[1]["content"])
+    got = sorted((tuple(r) for r in repeats.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()), key=repr)
+    assert got == brute_repeats(rows, 400)
+    assert all(n == 0 for _, _, n, _, _ in got)
+
+
 def test_segments_of_long_texts(spark, monkeypatch):
     rng = random.Random(7)
     monkeypatch.setattr(repeats, "SEGMENT", 700)
