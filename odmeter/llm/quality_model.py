@@ -27,6 +27,7 @@ TRAINING_ROWS = 6000
 EPOCHS = 2
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-3
 THRESHOLD = 0.7
+CHUNK = 1 << 18  # bytes of text whose features a worker holds at once
 
 _KIND = np.zeros(256, np.uint64)  # of a byte: letter, digit, upper case, stop, symbol, other
 _KIND[[*range(ord("a"), ord("z") + 1)]] = 1
@@ -107,7 +108,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, epochs:
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
     def extract(batches):
-        for batch, texts in chunks(batches, 1):
+        for batch, texts in chunks(batches, 1, CHUNK):
             of, slot, value = features(texts)
             bounds = np.searchsorted(of, np.arange(len(texts) + 1))
             yield pa.RecordBatch.from_pydict({
@@ -138,7 +139,7 @@ def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
 
     def rate(batches):
         w = sent.value
-        for batch, texts in chunks(batches, text):
+        for batch, texts in chunks(batches, text, CHUNK):
             of, slot, value = features(texts)
             total = np.bincount(of, w[slot].astype(np.float64) * value, len(texts)) + float(w[-1])
             yield batch.append_column("score", pa.array(1 / (1 + np.exp(-np.clip(total, -35, 35)))))

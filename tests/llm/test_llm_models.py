@@ -3,14 +3,16 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm_helpers import clashing, empty_documents, odd_documents, odd_rows, prose, rows_of
-from odmeter.llm import pii, quality_model, tagger
+from odmeter.llm import hashing, pii, quality_model, tagger
 
 
 def test_classifier_on_the_held_out_fold(spark):
@@ -249,3 +251,16 @@ def test_find_and_redact_odd_documents(spark, trained):
     assert rows[3]["text"] is None and rows[3]["n_chars"] is None
     assert pii.find(empty_documents(spark)).count() == 0
     assert rows_of(pii.redact(empty_documents(spark), trained)) == []
+
+
+def test_chunks_hold_the_texts_of_one_slice():
+    """A batch's texts are copied slice by slice, and op3 scores slices well below a megabyte."""
+    texts = [None, "", *("word " * 2000 for _ in range(2000))]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
+    tracemalloc.start()
+    sizes = [(len(some), part.num_rows, sum(map(len, some))) for part, some in hashing.chunks(iter([batch]), 0, quality_model.CHUNK)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(n for n, _, _ in sizes) == len(texts) and all(n == rows for n, rows, _ in sizes)
+    assert sum(b for _, _, b in sizes) == 20_000_000 and max(b for _, _, b in sizes) < quality_model.CHUNK + 10_000 <= 1 << 19
+    assert peak < 2_000_000
