@@ -15,7 +15,7 @@ from odmeter.reports.quality import backfill_counts
 from odmeter.schemas import KEY, MONTH
 from odmeter.session import cut_lineage
 from odmeter.sinks.swap import file_snapshot, repair, replace_months
-from odmeter.sources.files import landed_schema, list_landing, month_folder, read_landing
+from odmeter.sources.files import VERIFY, landed_schema, list_landing, month_folder, read_landing
 
 # Fixed value: rows per file after daily de-duplication.
 DEDUPE_BLOCK_ROWS = 1_000_000
@@ -122,7 +122,7 @@ def _merge_files(
 ) -> None:
     """Rewrites just the small files of each month; all others keep their names and times."""
     paths = [f"{month_folder(landing, m)}/{name}" for m, names in small.items() for name in names]
-    rows = spark.read.schema(schema).option("basePath", landing).parquet(*paths)
+    rows = spark.read.schema(schema).option("basePath", landing).option(VERIFY, True).parquet(*paths)
     counted = {f"{r['year']}-{r['month']}": r["count"] for r in rows.groupBy("year", "month").count().collect()}
     place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
     files = {m: _files_wanted(sum(names.values()), target_bytes) for m, names in small.items()}
@@ -179,7 +179,7 @@ def read_with_absent_mark(
     others = [f for f in schema if f.name != column]
     marked = StructType([*others[:-2], StructField(column, StringType(), True, default), *others[-2:]])
     if paths is not None:
-        return spark.read.schema(marked).option("basePath", landing).parquet(*paths)
+        return spark.read.schema(marked).option("basePath", landing).option(VERIFY, True).parquet(*paths)
     return read_landing(spark, landing, months, marked)
 
 

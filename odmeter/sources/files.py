@@ -25,6 +25,8 @@ MONTH_NAME = re.compile(r"\d{4}-\d{2}")
 MONTH_GLOB = "[0-9][0-9][0-9][0-9]-[0-9][0-9]"
 PARQUET_ONLY = "*.parquet"
 FILE_COLUMNS = [MONTH, "source_file", "file_path", "file_time", "row_index"]
+# Option of readers of landed files: a page whose bytes differ from its checksum raises.
+VERIFY = "parquet.page.verify-checksum.enabled"
 _FILE_FACTS = ["_metadata.file_path", "_metadata.file_name", "_metadata.file_size"]
 
 
@@ -278,7 +280,7 @@ def read_landing(
         found = existing(spark, paths)
         if not found:
             return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).option("basePath", landing).parquet(*found)
+        return spark.read.schema(schema).option("basePath", landing).option(VERIFY, True).parquet(*found)
 
     return seen(spark, landing, months, listed)
 

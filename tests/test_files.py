@@ -194,6 +194,35 @@ def test_append_never_clobbers_and_block_size_is_an_upper_bound(spark, tmp_path)
         write_landing(landing_frame(spark, row("x")), path, mode="overwrite")
 
 
+def below(path):
+    return [f"{folder}/{name}" for folder, _, names in os.walk(path) if "month=" in folder for name in names]
+
+
+def test_small_files_have_no_sidecars_and_damage_in_them_raises(spark, tmp_path):
+    path, large, own = (str(tmp_path / n) for n in ("landing", "large", "own"))
+    rows = landing_frame(spark, *[row(f"some-key-{i:02d}") for i in range(25)])
+    write_landing(rows, path, max_records=10)
+    names = below(path)
+    assert len(names) == 3 and all(n.endswith(".parquet") for n in names)
+    write_landing(rows, large)
+    assert sorted(n.endswith(".crc") for n in below(large)) == [False, True]
+    spark.conf.set("fs.file.impl", "org.apache.hadoop.fs.LocalFileSystem")  # the session's own choice stays
+    try:
+        write_landing(rows, own, max_records=10)
+    finally:
+        spark.conf.unset("fs.file.impl")
+    assert len(below(own)) == 6
+    assert files.read_landing(spark, path).count() == files.read_landing(spark, own).count() == 25
+
+    with open(names[0], "rb") as source:
+        data = source.read()
+    at = data.index(b"some-key-")
+    with open(names[0], "wb") as out:
+        out.write(data[:at] + b"S" + data[at + 1 :])
+    with pytest.raises(Exception, match="(?i)checksum"):
+        files.read_landing(spark, path).collect()
+
+
 def test_existing_keys_read_one_column_of_the_months(spark, tmp_path):
     path = str(tmp_path / "landing")
     write_landing(landing_frame(spark, row("a", "01"), row("b", "12")), path)
