@@ -205,6 +205,28 @@ def test_repeated_passages(spark, hot):
     assert got == brute_repeats(rows, 400)
 
 
+def test_runs_of_a_gram_meet_where_partitions_stay_small(spark):
+    """Equal strings in texts of different tasks, with a hot gram beside them; adaptive execution keeps all partitions, as on larger tables."""
+    rng = random.Random(8)
+
+    def letters(kinds, n):
+        return "".join(rng.choice(kinds) for _ in range(n))
+
+    shared, often = [letters("abcdefgh", 420) for _ in range(60)], letters("klm", 64)
+    rows = [(2 * i + j, letters("xyz", 50) + s + letters("uvw", 50)) for i, s in enumerate(shared) for j in range(2)]
+    rows += [(1000 + i, letters("rst", 200) + often + letters("rst", 200)) for i in range(40)]
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+        got = sorted((tuple(r) for r in repeats.remove_repeats(docs, hot=5).collect()), key=repr)
+    finally:
+        spark.conf.set(name, before)
+    assert got == brute_repeats(rows, 400)
+    assert sum(n > 0 for _, _, n, _, _ in got) == 120
+
+
 def test_texts_whose_sums_of_powers_agree(spark):
     """Thue-Morse words over two chosen letters: sums of bytes times powers of a base modulo 2^64 are equal, the bytes are not."""
     word = [0]
